@@ -103,5 +103,9 @@ def load_conformed(
         finally:
             new.unpersist()
         result.after = result.existing + result.new
-    register_layer_table(spark, cfg.conformed_db, target.catalog_table, layer, cfg.fmt)
+    stored = try_read_layer(spark, layer, cfg.fmt)
+    if stored is not None:
+        register_layer_table(
+            spark, cfg.conformed_db, target.catalog_table, layer, cfg.fmt, stored.schema, part
+        )
     return result

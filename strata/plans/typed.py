@@ -88,7 +88,11 @@ def load_typed_layer(
         finally:
             new.unpersist()
         result.after = result.existing + result.new
-    register_layer_table(spark, cfg.layer_db(layer), target.catalog_table, dst_path, cfg.fmt)
+    stored = read_typed_layer(spark, dst_path, spec, cfg.fmt)
+    if stored is not None:
+        register_layer_table(
+            spark, cfg.layer_db(layer), target.catalog_table, dst_path, cfg.fmt, stored.schema, part
+        )
     return result
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 _IDENT = re.compile(r"^[A-Za-z0-9_]+$")
 
@@ -39,14 +40,30 @@ def table_exists(spark: SparkSession, db: str, table: str) -> bool:
 
 
 def register_layer_table(
-    spark: SparkSession, db: str, table: str, path: str, fmt: str = "parquet", partitioned: bool = True
+    spark: SparkSession,
+    db: str,
+    table: str,
+    path: str,
+    fmt: str = "parquet",
+    schema: StructType | None = None,
+    partition_col: str | None = None,
 ) -> None:
-    """B2: (re)create ``db.table`` as an external table over a layer path."""
+    """B2: (re)create ``db.table`` as an external table over a layer path.
+
+    With ``schema`` given the catalog keeps the layer's own types (the
+    conformed partition column stays a string instead of an inferred date).
+    """
     ensure_database(spark, db)
     name = qualified(db, table)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING {quote(fmt)} LOCATION {_sql_string(path)}")
-    if partitioned:
+    cols = ""
+    parts = ""
+    if schema is not None:
+        cols = " (" + ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields) + ")"
+    if partition_col is not None:
+        parts = f" PARTITIONED BY ({quote(partition_col)})"
+    spark.sql(f"CREATE TABLE {name}{cols} USING {quote(fmt)}{parts} LOCATION {_sql_string(path)}")
+    if partition_col is not None:
         # File-source tables only see partitions the catalog knows about.
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
