@@ -37,6 +37,10 @@ class LakeConfig:
     # "partitions": back up only the partitions an append touches;
     # "table": copy the whole conformed table before each append.
     backup_scope: str = "partitions"
+    # Count whole stored layers before and after each load (F1 "existing" and
+    # "after"). Off by default: it lists and reads every file footer of the
+    # layer; the new-row count is always exact without it.
+    full_counts: bool = False
     extra: dict = field(default_factory=dict)
 
     @classmethod

@@ -26,9 +26,8 @@ from ..functions.keys import with_audit_columns, with_partition_day, with_row_ha
 from ..functions.names import clean_columns
 from ..operators.increment import new_lake_rows, partition_values
 from ..operators.spec import DatasetSpec
-from ..sources.catalog import register_layer_table
 from ..sources.files import read_csv
-from ..sources.layers import snapshot_layer, try_read_layer, write_layer
+from ..sources.layers import LayerTable, open_layer, save_to_layer, snapshot_layer
 from .target import LoadResult, Target
 
 
@@ -57,6 +56,16 @@ def batch_days(raw: DataFrame, spec: DatasetSpec) -> list | None:
     return partition_values(with_partition_day(df.select(part), part), part)
 
 
+def conformed_table(cfg: LakeConfig, target: Target, spec: DatasetSpec) -> LayerTable:
+    return LayerTable(
+        cfg.layer_path("conformed", target.subpath),
+        cfg.conformed_db,
+        target.catalog_table,
+        spec.partition_key,
+        cfg.fmt,
+    )
+
+
 def load_conformed(
     spark: SparkSession,
     cfg: LakeConfig,
@@ -65,15 +74,14 @@ def load_conformed(
     load_ts: _dt.datetime | None = None,
 ) -> LoadResult:
     load_ts = load_ts or _dt.datetime.now().replace(microsecond=0)
-    layer = cfg.layer_path("conformed", target.subpath)
-    result = LoadResult("conformed", layer)
+    lt = conformed_table(cfg, target, spec)
+    result = LoadResult("conformed", lt.path)
     raw = read_csv(spark, target.path)
     part = spec.partition_key
-    stored = try_read_layer(spark, layer, cfg.fmt)
+    stored = open_layer(spark, lt)
 
     if raw.isEmpty():  # D6 (reads the first rows only)
         result.notes.append("empty file")
-        result.existing = result.after = stored.count() if stored is not None else 0
         result.partitions = []
         return result
 
@@ -84,28 +92,29 @@ def load_conformed(
     batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
 
     if stored is None:
-        # A5: first load creates the table.
-        write_layer(batch, layer, part, cfg.fmt, mode="errorifexists")
+        # A5: the first load creates the table.
+        save_to_layer(spark, lt, batch, days, mode="errorifexists")
         result.created = True
         result.incoming = result.new = result.after = int(seen.get["rows"])
-    else:
-        result.existing = stored.count()  # Parquet answers from file footers
-        new = new_lake_rows(batch, stored, part, days).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            result.new = new.count()
-            result.incoming = int(seen.get["rows"])
-            if result.new > 0:
-                backup = join_path(cfg.backup, target.subpath)
-                scope = None if cfg.backup_scope == "table" else days
-                if snapshot_layer(spark, layer, backup, part, scope, cfg.fmt):
-                    result.backup = backup
-                write_layer(new, layer, part, cfg.fmt, mode="append")  # A6
-        finally:
-            new.unpersist()
+        return result
+
+    if cfg.full_counts:
+        result.existing = stored.count()
+    new = new_lake_rows(batch, stored, part, days).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        result.new = new.count()
+        result.incoming = int(seen.get["rows"])
+        if result.new > 0:
+            # Days that receive rows (read from the cached new rows): the
+            # only partitions this append changes or creates.
+            touched = partition_values(new, part)
+            backup = join_path(cfg.backup, target.subpath)
+            scope = None if cfg.backup_scope == "table" else (touched if touched is not None else days)
+            snapshot_layer(stored, backup, part, scope, cfg.fmt)  # A7
+            result.backup = backup
+            save_to_layer(spark, lt, new, touched, mode="append")  # A6
+    finally:
+        new.unpersist()
+    if cfg.full_counts:
         result.after = result.existing + result.new
-    stored = try_read_layer(spark, layer, cfg.fmt)
-    if stored is not None:
-        register_layer_table(
-            spark, cfg.conformed_db, target.catalog_table, layer, cfg.fmt, stored.schema, part
-        )
     return result

@@ -13,15 +13,15 @@ the target (a full reconcile, which also repairs an earlier failed load).
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LakeConfig
 from ..operators.increment import new_lake_rows, partition_values, prune_to_values
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
-from ..sources.catalog import register_layer_table
-from ..sources.layers import try_read_layer, write_layer
+from ..sources.layers import LayerTable, open_layer, save_to_layer, try_read_layer
+from .conformed import conformed_table
 from .target import LoadResult, Target
 
 
@@ -30,8 +30,21 @@ def typed_batch(conformed: DataFrame, spec: DatasetSpec) -> DataFrame:
     return typed_projection(conformed, spec, "lake").distinct()
 
 
+def typed_table(cfg: LakeConfig, layer: str, target: Target, spec: DatasetSpec) -> LayerTable:
+    part = spec.partition_key
+    ptype = next(c for c in spec.columns if c.name == part).lake()
+    return LayerTable(
+        cfg.layer_path(layer, target.subpath),
+        cfg.layer_db(layer),
+        target.catalog_table,
+        part,
+        cfg.fmt,
+        ptype.spark_type,
+    )
+
+
 def read_typed_layer(spark: SparkSession, path: str, spec: DatasetSpec, fmt: str = "parquet"):
-    """A typed layer with its partition column back in its declared type."""
+    """A typed layer read by path, its partition column back in its declared type."""
     df = try_read_layer(spark, path, fmt)
     if df is None:
         return None
@@ -48,12 +61,12 @@ def load_typed_layer(
     spec: DatasetSpec,
     partitions: list | None = None,
 ) -> LoadResult:
-    src_path = cfg.layer_path("conformed", target.subpath)
-    dst_path = cfg.layer_path(layer, target.subpath)
-    result = LoadResult(layer, dst_path)
+    src = conformed_table(cfg, target, spec)
+    dst = typed_table(cfg, layer, target, spec)
+    result = LoadResult(layer, dst.path)
     part = spec.partition_key
 
-    conformed = try_read_layer(spark, src_path, cfg.fmt)
+    conformed = open_layer(spark, src)
     if conformed is None:
         result.notes.append("no conformed layer")
         return result
@@ -63,44 +76,38 @@ def load_typed_layer(
             return result
         conformed = prune_to_values(conformed, part, partitions)
     batch = typed_batch(conformed, spec)
-    stored = try_read_layer(spark, dst_path, cfg.fmt)
+    # The days present in the typed batch, as the target stores them (the
+    # lake type's text form may differ from the conformed one).
+    days = partition_values(batch, part)
+    result.partitions = days
+    stored = open_layer(spark, dst)
 
     if stored is None:
-        if conformed.isEmpty():
+        if not days:
             result.notes.append("conformed layer is empty")
             return result
-        write_layer(batch, dst_path, part, cfg.fmt, mode="errorifexists")
+        seen = Observation(f"{layer}-created")
+        save_to_layer(
+            spark, dst, batch.observe(seen, F.count(F.lit(1)).alias("rows")), days, mode="errorifexists"
+        )
         result.created = True
-        result.new = result.after = read_typed_count(spark, dst_path, cfg.fmt)
-        result.incoming = result.new
-    else:
-        # The days present in the typed batch, as the target stores them.
-        # Computed on the typed batch: the partition folders hold the value
-        # in its lake type's text form, which may differ from the conformed one.
-        days = partition_values(batch, part)
-        result.partitions = days
+        result.incoming = result.new = result.after = int(seen.get["rows"])
+        return result
+
+    if cfg.full_counts:
         result.existing = stored.count()
-        new = new_lake_rows(batch, stored, part, days).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            result.new = new.count()
-            if result.new > 0:
-                write_layer(new, dst_path, part, cfg.fmt, mode="append")
-        finally:
-            new.unpersist()
+    new = new_lake_rows(batch, stored, part, days).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        result.new = new.count()
+        if result.new > 0:
+            save_to_layer(spark, dst, new, partition_values(new, part), mode="append")
+    finally:
+        new.unpersist()
+    if cfg.full_counts:
         result.after = result.existing + result.new
-    stored = read_typed_layer(spark, dst_path, spec, cfg.fmt)
-    if stored is not None:
-        register_layer_table(
-            spark, cfg.layer_db(layer), target.catalog_table, dst_path, cfg.fmt, stored.schema, part
-        )
     return result
 
 
-def read_typed_count(spark: SparkSession, path: str, fmt: str) -> int:
-    df = try_read_layer(spark, path, fmt)
-    return 0 if df is None else df.count()
-
-
 def load_enriched(spark, cfg, target, spec, partitions=None) -> LoadResult:
     return load_typed_layer(spark, cfg, "enriched", target, spec, partitions)
 

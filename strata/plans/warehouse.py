@@ -15,9 +15,10 @@ from ..operators.increment import new_warehouse_rows, prune_to_values
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
 from ..sources.catalog import create_table, ensure_database, ensure_view, table_exists
-from ..sources.layers import try_read_layer
+from ..sources.layers import open_layer
 from ..sources.warehouse import insert_from_staging, read_warehouse, write_staging
 from .target import LoadResult, Target
+from .typed import typed_table
 
 
 def load_warehouse(
@@ -31,7 +32,7 @@ def load_warehouse(
     staging = target.staging_schema
     result = LoadResult("warehouse", f"{schema}.{table}")
 
-    src = try_read_layer(spark, cfg.layer_path("enriched", target.subpath), cfg.fmt)
+    src = open_layer(spark, typed_table(cfg, "enriched", target, spec))
     if src is None:
         result.notes.append("no enriched layer")
         return result
@@ -43,7 +44,8 @@ def load_warehouse(
     ensure_database(spark, staging)
     if table_exists(spark, schema, table):  # B4
         stored = read_warehouse(spark, schema, table)  # A12
-        result.existing = stored.count()
+        if cfg.full_counts:
+            result.existing = stored.count()
         new = new_warehouse_rows(typed, stored)  # E2
     else:
         create_table(spark, schema, table, spec.warehouse_ddl_columns())  # B5, C10
@@ -51,7 +53,8 @@ def load_warehouse(
         new = typed
     write_staging(new, staging, table)  # A13
     result.new = insert_from_staging(spark, staging, schema, table, spec.cluster_keys)  # A14
-    result.after = result.existing + result.new
+    if cfg.full_counts:
+        result.after = result.existing + result.new
     if target.sql_view:
         ensure_view(spark, schema, target.sql_view, table)  # B7
     return result

@@ -47,6 +47,7 @@ def register_layer_table(
     fmt: str = "parquet",
     schema: StructType | None = None,
     partition_col: str | None = None,
+    partition_values: list | None = None,
 ) -> None:
     """B2: (re)create ``db.table`` as an external table over a layer path.
 
@@ -59,13 +60,63 @@ def register_layer_table(
     cols = ""
     parts = ""
     if schema is not None:
-        cols = " (" + ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields) + ")"
+        fields = [f for f in schema.fields if f.name != partition_col]
+        fields += [f for f in schema.fields if f.name == partition_col]
+        cols = " (" + ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in fields) + ")"
     if partition_col is not None:
         parts = f" PARTITIONED BY ({quote(partition_col)})"
     spark.sql(f"CREATE TABLE {name}{cols} USING {quote(fmt)}{parts} LOCATION {_sql_string(path)}")
-    if partition_col is not None:
-        # File-source tables only see partitions the catalog knows about.
+    if partition_col is not None and partition_values is None:
+        # File-source tables only see partitions the catalog knows about;
+        # without a known value list, discover them from the folders once.
         spark.sql(f"MSCK REPAIR TABLE {name}")
+    elif partition_col is not None:
+        add_partitions(spark, db, table, partition_col, partition_values)
+
+
+# The folder name Spark writes for a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def known_partitions(spark: SparkSession, db: str, table: str) -> set[str]:
+    """Partition values the catalog holds (metadata only, no folder listing)."""
+    from urllib.parse import unquote
+
+    rows = spark.sql(f"SHOW PARTITIONS {qualified(db, table)}").collect()
+    return {unquote(r[0].split("=", 1)[1]) for r in rows}
+
+
+def add_partitions(spark: SparkSession, db: str, table: str, col: str, values: list, chunk: int = 500) -> None:
+    """Tell the catalog about partitions just written (no folder listing).
+
+    Only values the catalog does not hold yet are sent.
+    """
+    name = qualified(db, table)
+    vals = {NULL_PARTITION if v is None else str(v) for v in values}
+    if table_exists(spark, db, table):
+        vals -= known_partitions(spark, db, table)
+    vals = sorted(vals)
+    for i in range(0, len(vals), chunk):
+        specs = " ".join(f"PARTITION ({quote(col)} = {_sql_string(v)})" for v in vals[i : i + chunk])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+
+
+def table_location(spark: SparkSession, db: str, table: str) -> str | None:
+    if not table_exists(spark, db, table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(db, table)}").collect()
+    for r in rows:
+        if r[0] == "Location":
+            return r[1]
+    return None
+
+
+def same_location(a: str | None, b: str | None) -> bool:
+    def norm(p):
+        p = (p or "").rstrip("/")
+        return p[len("file:"):] if p.startswith("file:") else p
+
+    return a is not None and b is not None and norm(a) == norm(b)
 
 
 def create_table(

@@ -9,9 +9,13 @@ string and must not come back as a date.
 from __future__ import annotations
 
 import contextlib
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
+
+from .catalog import add_columns, add_partitions, qualified, register_layer_table, same_location, table_location
 
 DEFAULT_FORMAT = "parquet"
 _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
@@ -67,39 +71,118 @@ def write_layer(
 ) -> None:
     """A5 (``mode="errorifexists"``) and A6 (``mode="append"``).
 
-    No repartition: each task writes the partitions it holds (the writer
-    sorts locally by the partition column), so a hot day is written by many
-    tasks in parallel instead of one.
+    Rows are rebalanced on the partition column first: without it every task
+    writes one file per day it holds (tasks x days small files). The
+    ``rebalance`` hint lets AQE size the write tasks: a hot day is split over
+    several tasks (several files) and small days are packed together.
     """
-    df.write.format(fmt).mode(mode).partitionBy(partition_col).save(path)
+    (
+        df.hint("rebalance", partition_col)
+        .write.format(fmt)
+        .mode(mode)
+        .partitionBy(partition_col)
+        .save(path)
+    )
 
 
 def snapshot_layer(
-    spark: SparkSession,
-    path: str,
+    stored: DataFrame,
     backup_path: str,
     partition_col: str,
     values: list | None = None,
     fmt: str = DEFAULT_FORMAT,
-) -> bool:
+) -> None:
     """Copy the layer (or just the partitions in ``values``) to ``backup_path``.
 
     The copy replaces the previous one at the same path, so exactly one
     backup per table is kept. Copying only the partitions an append is about
     to touch is enough to undo that append, and costs a fraction of a whole
-    table copy. Returns False when there was nothing to copy.
+    table copy.
     """
     from ..operators.increment import prune_to_values
 
-    stored = try_read_layer(spark, path, fmt)
-    if stored is None:
-        return False
     if values is not None:
         stored = prune_to_values(stored, partition_col, values)
     (
-        stored.write.format(fmt)
+        stored.hint("rebalance", partition_col)
+        .write.format(fmt)
         .mode("overwrite")
         .partitionBy(partition_col)
         .save(backup_path)
     )
-    return True
+
+
+@dataclass(frozen=True)
+class LayerTable:
+    """A layer: files at ``path`` plus a catalog table that tracks them.
+
+    The catalog keeps the schema and the partition list, so a read filtered
+    on the partition column lists only the matching partition folders and
+    reads no footers to find the schema. ``partition_type`` is the partition
+    column's type in the table (None: string, as in the conformed layer).
+    """
+
+    path: str
+    db: str
+    table: str
+    partition_col: str
+    fmt: str = DEFAULT_FORMAT
+    partition_type: str | None = None
+
+    @property
+    def name(self) -> str:
+        return qualified(self.db, self.table)
+
+
+def _with_partition_type(schema: StructType, col: str, dtype: str | None) -> StructType:
+    if dtype is None:
+        return schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    target = _parse_datatype_string(dtype)
+    return StructType([StructField(f.name, target, True) if f.name == col else f for f in schema.fields])
+
+
+def open_layer(spark: SparkSession, lt: LayerTable) -> DataFrame | None:
+    """A4 + A15: the layer as a catalog table, or None when nothing is stored.
+
+    When the catalog does not know the layer yet (a new session over an
+    existing lake), it is adopted once from its folders: one full listing
+    and schema merge, after which reads go through the catalog.
+    """
+    if same_location(table_location(spark, lt.db, lt.table), lt.path):
+        return spark.table(lt.name)
+    df = try_read_layer(spark, lt.path, lt.fmt)
+    if df is None:
+        return None
+    schema = _with_partition_type(df.schema, lt.partition_col, lt.partition_type)
+    register_layer_table(spark, lt.db, lt.table, lt.path, lt.fmt, schema, lt.partition_col)
+    return spark.table(lt.name)
+
+
+def save_to_layer(
+    spark: SparkSession,
+    lt: LayerTable,
+    df: DataFrame,
+    values: list | None,
+    mode: str = "append",
+) -> None:
+    """A5 / A6 + B2: write rows, then record new columns and partitions.
+
+    ``values`` are the partition values the rows carry (None: unknown, the
+    catalog then rediscovers partitions from the folders).
+    """
+    write_layer(df, lt.path, lt.partition_col, lt.fmt, mode)
+    if not same_location(table_location(spark, lt.db, lt.table), lt.path):
+        register_layer_table(
+            spark, lt.db, lt.table, lt.path, lt.fmt, df.schema, lt.partition_col, values
+        )
+        return
+    have = {f.name.lower() for f in spark.table(lt.name).schema.fields}
+    extra = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name.lower() not in have]
+    add_columns(spark, lt.db, lt.table, extra)
+    if values is None:
+        spark.sql(f"MSCK REPAIR TABLE {lt.name}")
+    else:
+        add_partitions(spark, lt.db, lt.table, lt.partition_col, values)
+    spark.catalog.refreshTable(f"{lt.db}.{lt.table}")

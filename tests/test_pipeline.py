@@ -53,6 +53,7 @@ def lake(spark, scratch):
         enriched_db="t_enriched",
         sandbox_db="t_sandbox",
         metadata_db="t_meta",
+        full_counts=True,
     )
     _write(f"{scratch}/meta/business.csv", BUSINESS)
     _write(f"{scratch}/meta/technical.csv", TECHNICAL)
