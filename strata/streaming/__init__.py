@@ -1,6 +1,6 @@
-"""Streaming entry points.
+"""Streaming entry point: an availableNow file-stream trigger over the
+incoming folder that hands newly arrived files to the per-file loads."""
 
-The loads are batch jobs over files; this package only offers a Structured
-Streaming trigger that discovers files arriving in the incoming folder and
-hands each one to the same per-file load (see ``incoming``).
-"""
+from .incoming import incoming_files_stream, run_incoming_stream
+
+__all__ = ["incoming_files_stream", "run_incoming_stream"]

@@ -140,3 +140,19 @@ def _spec(spark, cfg):
     from strata.plans.metadata import spec_for
 
     return spec_for(spark, cfg, "orders_feed")
+
+
+def test_incoming_stream_loads_only_new_files(spark, lake, scratch):
+    from strata.streaming import run_incoming_stream
+
+    ckpt = f"{scratch}/stream-checkpoint"
+    ts = dt.datetime(2024, 2, 1, 12, 0, 0)
+    first = run_incoming_stream(spark, lake, ckpt, load_ts=ts)
+    conf = [r for r in first if r["layer"] == "conformed"]
+    assert sorted(r["new"] for r in conf) == [2, 2, 4]
+    # nothing new arrived: the checkpoint says every file was handed over
+    assert run_incoming_stream(spark, lake, ckpt, load_ts=ts) == []
+    _write(f"{lake.incoming}/orders_feed__day4.csv", HEADER + "9,90,O,900.00,1995-01-05\n1,10,FX,100.50,1995-01-01\n")
+    later = run_incoming_stream(spark, lake, ckpt, load_ts=ts)
+    assert [r["new"] for r in later if r["layer"] == "conformed"] == [1]
+    assert read_layer(spark, f"{lake.conformed}/sales/tpch/core/orders").count() == 9
