@@ -41,6 +41,9 @@ class LakeConfig:
     # "after"). Off by default: it lists and reads every file footer of the
     # layer; the new-row count is always exact without it.
     full_counts: bool = False
+    # Keys with more rows than this in one batch are settled outside the
+    # anti-join's shuffle (see operators.increment.hot_keys). None: off.
+    hot_key_rows: int | None = 1_000_000
     extra: dict = field(default_factory=dict)
 
     @classmethod

@@ -4,6 +4,7 @@ new-row detection and dataset routing."""
 from .increment import (
     MAX_PRUNE_VALUES,
     anti_join_new,
+    hot_keys,
     load_counts,
     new_lake_rows,
     new_warehouse_rows,

@@ -10,9 +10,16 @@ The anti-join is an equi ``left_anti`` on the hash (never NULL), not
 ``NOT IN``: ``NOT IN`` compiles to a null-aware broadcast join that ships the
 whole stored side to every task. The stored keys are de-duplicated first
 (map-side partial aggregate) so a key repeated across many stored rows
-crosses the shuffle once per map task; Spark then picks a broadcast when the
-de-duplicated side is small at runtime (AQE) or a sort-merge join, whose
-skewed partitions AQE splits.
+crosses the shuffle once per map task; Spark then broadcasts the
+de-duplicated side when it is small at runtime (AQE, size-checked) or runs a
+sort-merge join.
+
+Hot keys: AQE's skew-join split does not apply here — the de-duplicating
+aggregate sits directly under the join, so the stored side is not a bare
+shuffle. Keys that carry a large share of a batch (``hot_keys``) are
+therefore settled outside the shuffle: the stored side is filtered to those
+few keys, and the batch's hot rows are kept or dropped by a static
+predicate. The split is exact; it only changes where the work runs.
 """
 
 from __future__ import annotations
@@ -27,6 +34,11 @@ from ..functions.keys import HASH_COL
 # the batch's partition values instead (no pruning, still exact).
 MAX_PRUNE_VALUES = 10_000
 
+# A key with more rows than this in one batch is settled outside the shuffle;
+# at most MAX_HOT_KEYS such keys are listed per batch.
+HOT_KEY_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
+
 _STORED_KEY = "__stored_key"
 _BATCH_PART = "__batch_part"
 
@@ -81,13 +93,46 @@ def stored_keys(stored: DataFrame, key: str = HASH_COL) -> DataFrame:
     return stored.select(F.col(key).alias(_STORED_KEY)).distinct()
 
 
-def anti_join_new(batch: DataFrame, stored: DataFrame, key: str = HASH_COL) -> DataFrame:
+def hot_keys(
+    df: DataFrame, key: str = HASH_COL, min_rows: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS
+) -> list:
+    """Keys carrying more than ``min_rows`` rows, most frequent first.
+
+    A partial aggregate per map task, then a top-``limit`` selection: at most
+    ``limit`` keys reach the driver.
+    """
+    rows = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .filter(F.col("__rows") > F.lit(min_rows))
+        .orderBy(F.col("__rows").desc())
+        .limit(limit)
+        .collect()
+    )
+    return [r[0] for r in rows]
+
+
+def anti_join_new(
+    batch: DataFrame, stored: DataFrame, key: str = HASH_COL, hot: list | None = None
+) -> DataFrame:
     """Batch rows whose key is not among the stored keys.
 
-    Keeps the batch's column order.
+    Keeps the batch's column order. ``hot`` lists keys that carry a large
+    share of the batch: they are settled without a shuffle (the stored side
+    is filtered to those few keys, and the batch's hot rows are kept or
+    dropped by a static predicate); only the remaining keys go through the
+    shuffled anti-join, so no task receives a hot key's rows.
     """
     keys = stored_keys(stored, key)
-    return batch.join(keys, F.col(key) == F.col(_STORED_KEY), "left_anti")
+    if not hot:
+        return batch.join(keys, F.col(key) == F.col(_STORED_KEY), "left_anti")
+    is_hot = F.col(key).isin(hot)
+    stored_hot = {r[0] for r in stored.filter(is_hot).select(key).distinct().collect()}
+    fresh_hot = [k for k in hot if k not in stored_hot]
+    cold = batch.filter(~is_hot).join(keys, F.col(key) == F.col(_STORED_KEY), "left_anti")
+    if not fresh_hot:
+        return cold
+    return cold.unionByName(batch.filter(F.col(key).isin(fresh_hot)))
 
 
 def new_lake_rows(
@@ -96,6 +141,7 @@ def new_lake_rows(
     partition_col: str,
     values: list | None = None,
     key: str = HASH_COL,
+    hot: list | None = None,
 ) -> DataFrame:
     """Lake load: distinct batch rows not stored in the batch's partitions.
 
@@ -105,14 +151,16 @@ def new_lake_rows(
     """
     if stored is None:
         return batch
-    return anti_join_new(batch, prune_to_batch(stored, batch, partition_col, values), key)
+    return anti_join_new(batch, prune_to_batch(stored, batch, partition_col, values), key, hot)
 
 
-def new_warehouse_rows(batch: DataFrame, stored: DataFrame | None, key: str = HASH_COL) -> DataFrame:
+def new_warehouse_rows(
+    batch: DataFrame, stored: DataFrame | None, key: str = HASH_COL, hot: list | None = None
+) -> DataFrame:
     """Warehouse load: no pruning, no distinct here — that comes at insert."""
     if stored is None:
         return batch
-    return anti_join_new(batch, stored, key)
+    return anti_join_new(batch, stored, key, hot)
 
 
 def row_count(name: str) -> tuple[Observation, Column]:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..config import LakeConfig, join_path
 from ..functions.keys import with_audit_columns, with_partition_day, with_row_hash
 from ..functions.names import clean_columns
-from ..operators.increment import new_lake_rows, partition_values
+from ..operators.increment import hot_keys, new_lake_rows, partition_values
 from ..operators.spec import DatasetSpec
 from ..sources.files import read_csv
 from ..sources.layers import LayerTable, open_layer, save_to_layer, snapshot_layer
@@ -56,6 +56,20 @@ def batch_days(raw: DataFrame, spec: DatasetSpec) -> list | None:
     return partition_values(with_partition_day(df.select(part), part), part)
 
 
+def batch_hot_keys(raw: DataFrame, spec: DatasetSpec, min_rows: int | None) -> list | None:
+    """Hash keys with more than ``min_rows`` raw rows in the batch.
+
+    Counted on the raw rows (reading the key columns only): a key is at least
+    as frequent there as after de-duplication, and treating a key as hot is
+    exact either way.
+    """
+    if min_rows is None:
+        return None
+    df = clean_columns(raw)
+    keys = [_resolve(df, k) for k in spec.hash_keys]
+    return hot_keys(with_row_hash(df.select(*keys), keys), min_rows=min_rows) or None
+
+
 def conformed_table(cfg: LakeConfig, target: Target, spec: DatasetSpec) -> LayerTable:
     return LayerTable(
         cfg.layer_path("conformed", target.subpath),
@@ -100,7 +114,8 @@ def load_conformed(
 
     if cfg.full_counts:
         result.existing = stored.count()
-    new = new_lake_rows(batch, stored, part, days).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = batch_hot_keys(raw, spec, cfg.hot_key_rows)
+    new = new_lake_rows(batch, stored, part, days, hot=hot).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         result.new = new.count()
         result.incoming = int(seen.get["rows"])

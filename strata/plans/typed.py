@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LakeConfig
-from ..operators.increment import new_lake_rows, partition_values, prune_to_values
+from ..functions.keys import HASH_COL
+from ..operators.increment import hot_keys, new_lake_rows, partition_values, prune_to_values
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
 from ..sources.layers import LayerTable, open_layer, save_to_layer, try_read_layer
@@ -96,7 +97,10 @@ def load_typed_layer(
 
     if cfg.full_counts:
         result.existing = stored.count()
-    new = new_lake_rows(batch, stored, part, days).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = None
+    if cfg.hot_key_rows is not None:
+        hot = hot_keys(conformed.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
+    new = new_lake_rows(batch, stored, part, days, hot=hot).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         result.new = new.count()
         if result.new > 0:

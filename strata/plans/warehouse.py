@@ -11,7 +11,8 @@ the cluster column, descending (H2).
 from __future__ import annotations
 
 from ..config import LakeConfig
-from ..operators.increment import new_warehouse_rows, prune_to_values
+from ..functions.keys import HASH_COL
+from ..operators.increment import hot_keys, new_warehouse_rows, prune_to_values
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
 from ..sources.catalog import create_table, ensure_database, ensure_view, table_exists
@@ -46,7 +47,10 @@ def load_warehouse(
         stored = read_warehouse(spark, schema, table)  # A12
         if cfg.full_counts:
             result.existing = stored.count()
-        new = new_warehouse_rows(typed, stored)  # E2
+        hot = None
+        if cfg.hot_key_rows is not None:
+            hot = hot_keys(src.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
+        new = new_warehouse_rows(typed, stored, hot=hot)  # E2
     else:
         create_table(spark, schema, table, spec.warehouse_ddl_columns())  # B5, C10
         result.created = True

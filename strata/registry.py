@@ -19,6 +19,7 @@ from .functions.keys import with_partition_day
 from .functions.names import clean_columns, clean_name_expr
 from .operators.increment import (
     anti_join_new,
+    hot_keys,
     load_counts,
     new_lake_rows,
     partition_values,
@@ -33,6 +34,8 @@ from .plans.typed import typed_batch
 # The load time used by every checked query.
 LOAD_TS = _dt.datetime(2024, 2, 1, 0, 0, 0)
 LOAD_TS_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
+# Rows per key above which new_events_hot_keys treats a key as hot.
+HOT_EVENT_ROWS = 8
 
 _TECH_KEYS = ("columnname", "colseq", "delta", "sql", "hashkeycheck", "partitionkeycheck", "clusterindexcol")
 
@@ -165,6 +168,16 @@ def new_events(spark, sf_dir):
     return new_lake_rows(batch, stored, "ts")
 
 
+def new_events_hot_keys(spark, sf_dir):
+    """E1 as new_events, with frequent keys settled outside the shuffle: the
+    threshold is low enough that many (user, type) keys count as hot here."""
+    ev = _table(spark, sf_dir, "events")
+    stored = conformed_batch(ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp")), EVENTS, LOAD_TS)
+    batch = conformed_batch(ev.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp")), EVENTS, LOAD_TS)
+    hot = hot_keys(batch, min_rows=HOT_EVENT_ROWS)
+    return new_lake_rows(batch, stored, "ts", hot=hot)
+
+
 def load_counts_orders(spark, sf_dir):
     """existing, incoming, new and after-load row counts."""
     stored, batch = _orders_split(spark, sf_dir)
@@ -238,6 +251,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_orders": new_orders,
     "pruned_stored_orders": pruned_stored_orders,
     "new_events": new_events,
+    "new_events_hot_keys": new_events_hot_keys,
     "load_counts_orders": load_counts_orders,
     "typed_new_orders": typed_new_orders,
     "new_orders_warehouse": new_orders_warehouse,
@@ -392,3 +406,5 @@ SELECT DISTINCT p.url AS path, p.url AS name, {', '.join('m.' + c for c in BUSIN
 FROM pages p JOIN meta m
   ON lower(replace(p.url, '__', '_')) LIKE '%' || lower(trim(m.dataset)) || '%'""",
 }
+
+ORACLE_SQL["new_events_hot_keys"] = ORACLE_SQL["new_events"]

@@ -153,3 +153,21 @@ def explain_text(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
     return buf.getvalue()
+
+
+def test_hot_key_split_is_exact(spark):
+    from strata.operators import hot_keys
+
+    rows = [("HOT", "d1", i) for i in range(30)] + [("WARM", "d1", 100 + i) for i in range(12)]
+    rows += [(f"k{i}", "d1", 200 + i) for i in range(20)]
+    batch = _layer(spark, rows)
+    stored = _layer(spark, [("HOT", "d1", -1), ("k3", "d1", -2), ("k4", "d9", -3)])
+    hot = hot_keys(batch, min_rows=10)
+    assert hot == ["HOT", "WARM"]  # most frequent first, bounded by the threshold
+    plain = sorted(r.v for r in new_lake_rows(batch, stored, "p").collect())
+    split = sorted(r.v for r in new_lake_rows(batch, stored, "p", hot=hot).collect())
+    assert split == plain
+    # HOT is stored on a batch day: all 30 rows go; WARM is new: all 12 stay;
+    # k3 is stored on d1 (blocked), k4 only on d9 (not in the batch, kept).
+    assert len(plain) == 12 + 19
+    assert hot_keys(batch, min_rows=10, limit=1) == ["HOT"]
