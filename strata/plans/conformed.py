@@ -1,11 +1,10 @@
 """Conformed layer load (K5).
 
-Pure part, ``conformed_batch``: clean names (C2) -> hash key on the raw key
-text (C3) -> audit columns (C4) -> partition day (C5) -> distinct (I1/I2).
-Doing the distinct once, after normalisation, equals the distinct-then-
-distinct-again of a row-at-a-time flow: the steps before it are per-row and
-deterministic. The hash precedes normalisation, so a key that includes the
-partition column hashes the text as it arrived.
+Pure part, ``conformed_batch``: clean names (C2) -> partition day (C5) ->
+distinct (I1/I2) -> hash key (C3) -> audit columns (C4). Doing the distinct
+once, after normalisation, equals the distinct-then-distinct-again of a
+row-at-a-time flow: the steps before it are per-row and deterministic. A key
+that includes the partition column hashes the text as it arrived.
 
 Side-effect part, ``load_conformed``: one cheap pass collects the batch's
 partition days (one column of the file), the stored side is pruned to them,
@@ -39,14 +38,21 @@ def _resolve(df: DataFrame, name: str) -> str:
 
 
 def conformed_batch(raw: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFrame:
-    """The conformed rows of one incoming batch (pure; no action)."""
+    """The conformed rows of one incoming batch (pure; no action).
+
+    The distinct groups on the data columns only. The hash is a function of
+    them, so it is added after the distinct — unless the partition column is
+    a hash input, in which case the hash must see the raw text and is taken
+    first. The audit columns are constants and come last.
+    """
     df = clean_columns(raw)
     keys = [_resolve(df, k) for k in spec.hash_keys]
     part = _resolve(df, spec.partition_key)
-    df = with_row_hash(df, keys)
-    df = with_audit_columns(df, load_ts)
-    df = with_partition_day(df, part)
-    return df.distinct()
+    if part in keys:
+        df = with_partition_day(with_row_hash(df, keys), part).distinct()
+    else:
+        df = with_row_hash(with_partition_day(df, part).distinct(), keys)
+    return with_audit_columns(df, load_ts)
 
 
 def batch_days(raw: DataFrame, spec: DatasetSpec) -> list | None:
