@@ -44,6 +44,19 @@ def typed_table(cfg: LakeConfig, layer: str, target: Target, spec: DatasetSpec)
     )
 
 
+def typed_partition_texts(spark: SparkSession, values: list, dtype: str | None) -> list:
+    """Conformed partition texts -> the text form of the lake-typed value.
+
+    Runs on Spark over the (bounded) value list, so the conversion is the
+    same cast the typed projection applies.
+    """
+    if dtype is None:
+        return list(values)
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    rows = df.select(F.col("v").try_cast(dtype).cast("string")).distinct().collect()
+    return [r[0] for r in rows]
+
+
 def read_typed_layer(spark: SparkSession, path: str, spec: DatasetSpec, fmt: str = "parquet"):
     """A typed layer read by path, its partition column back in its declared type."""
     df = try_read_layer(spark, path, fmt)
@@ -79,7 +92,12 @@ def load_typed_layer(
     batch = typed_batch(conformed, spec)
     # The days present in the typed batch, as the target stores them (the
     # lake type's text form may differ from the conformed one).
-    days = partition_values(batch, part)
+    if partitions is not None:
+        # Every day of a conformed batch holds conformed rows once that load
+        # is done, so the typed days are the hint's days in the lake type.
+        days = typed_partition_texts(spark, partitions, dst.partition_type)
+    else:
+        days = partition_values(batch, part)
     result.partitions = days
     stored = open_layer(spark, dst)
 
