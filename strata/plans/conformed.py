@@ -55,11 +55,18 @@ def conformed_batch(raw: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFram
     return with_audit_columns(df, load_ts)
 
 
-def batch_days(raw: DataFrame, spec: DatasetSpec) -> list | None:
-    """Distinct partition days of a batch, reading only the partition column."""
+def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int]:
+    """Distinct partition days of a batch and its raw row count.
+
+    One pass reading only the partition column; the row count is observed
+    on the way.
+    """
     df = clean_columns(raw)
     part = _resolve(df, spec.partition_key)
-    return partition_values(with_partition_day(df.select(part), part), part)
+    rows = Observation("batch-rows")
+    days = with_partition_day(df.select(part), part).observe(rows, F.count(F.lit(1)).alias("rows"))
+    values = partition_values(days, part)
+    return values, int(rows.get["rows"])
 
 
 def batch_hot_keys(raw: DataFrame, spec: DatasetSpec, min_rows: int | None) -> list | None:
@@ -105,7 +112,7 @@ def load_conformed(
         result.partitions = []
         return result
 
-    days = batch_days(raw, spec)
+    days, raw_rows = batch_days(raw, spec)
     result.partitions = days
     batch = conformed_batch(raw, spec, load_ts)
     seen = Observation("incoming")
@@ -120,7 +127,10 @@ def load_conformed(
 
     if cfg.full_counts:
         result.existing = stored.count()
-    hot = batch_hot_keys(raw, spec, cfg.hot_key_rows)
+    # No key can pass the threshold unless the whole batch does.
+    hot = None
+    if cfg.hot_key_rows is not None and raw_rows > cfg.hot_key_rows:
+        hot = batch_hot_keys(raw, spec, cfg.hot_key_rows)
     new = new_lake_rows(batch, stored, part, days, hot=hot).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         result.new = new.count()

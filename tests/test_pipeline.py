@@ -45,8 +45,10 @@ def _write(path, text):
         f.write(text)
 
 
-@pytest.fixture()
-def lake(spark, scratch):
+@pytest.fixture(params=[1_000_000, 0], ids=["plain", "hot-keys"])
+def lake(request, spark, scratch):
+    # hot_key_rows=0 treats every key as hot: the whole load then runs the
+    # hot-key path and must give the same rows.
     cfg = LakeConfig.under(
         scratch,
         conformed_db="t_conformed",
@@ -54,6 +56,7 @@ def lake(spark, scratch):
         sandbox_db="t_sandbox",
         metadata_db="t_meta",
         full_counts=True,
+        hot_key_rows=request.param,
     )
     _write(f"{scratch}/meta/business.csv", BUSINESS)
     _write(f"{scratch}/meta/technical.csv", TECHNICAL)
