@@ -40,6 +40,7 @@ HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 _STORED_KEY = "__stored_key"
+_VALUE_SEP = "\u0001"
 _BATCH_PART = "__batch_part"
 
 
@@ -163,6 +164,35 @@ def new_warehouse_rows(
     return anti_join_new(batch, stored, key, hot)
 
 
+def count_with_values(df: DataFrame, col: str) -> tuple[int, list | None]:
+    """Row count and the distinct values of ``col`` (as text), in one job.
+
+    For frames whose ``col`` is already known to take few values (a subset
+    of a batch's bounded partition list): the set is gathered by the same
+    pass that counts, instead of a second distinct job.
+    """
+    obs = Observation("rows-and-values")
+    # Observed metrics come back as scalars, so the set travels as one text.
+    df.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows"),
+        F.concat_ws(_VALUE_SEP, F.collect_set(F.col(col).cast("string"))).alias("values"),
+        F.max(F.col(col).isNull().cast("int")).alias("nulls"),
+    ).count()
+    try:
+        got = obs.get
+    except Exception:  # no metrics when the plan had no rows to observe
+        got = {}
+    if "rows" not in got:
+        # Exact fallback; None when there are too many values to list.
+        return df.count(), partition_values(df, col)
+    text = got.get("values") or ""
+    values = sorted(text.split(_VALUE_SEP)) if text else []
+    if got.get("nulls"):
+        values.append(None)
+    return int(got["rows"]), values
+
+
 def row_count(name: str) -> tuple[Observation, Column]:
     """An observation that counts the rows flowing through a plan (F1)."""
     return Observation(name), F.count(F.lit(1)).alias("rows")

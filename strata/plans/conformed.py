@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LakeConfig, join_path
-from ..functions.keys import with_audit_columns, with_partition_day, with_row_hash
+from ..functions.keys import partition_day, with_audit_columns, with_partition_day, with_row_hash
 from ..functions.names import clean_columns
-from ..operators.increment import hot_keys, new_lake_rows, partition_values
+from ..operators.increment import MAX_PRUNE_VALUES, count_with_values, hot_keys, new_lake_rows
 from ..operators.spec import DatasetSpec
 from ..sources.files import read_csv
 from ..sources.layers import LayerTable, open_layer, save_to_layer, snapshot_layer
@@ -55,18 +55,20 @@ def conformed_batch(raw: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFram
     return with_audit_columns(df, load_ts)
 
 
-def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int]:
+def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int | None]:
     """Distinct partition days of a batch and its raw row count.
 
-    One pass reading only the partition column; the row count is observed
-    on the way.
+    One pass reading only the partition column: rows are counted per day and
+    at most ``MAX_PRUNE_VALUES + 1`` (day, count) pairs reach the driver.
+    Above that both results are None (too many days for a static list).
     """
     df = clean_columns(raw)
     part = _resolve(df, spec.partition_key)
-    rows = Observation("batch-rows")
-    days = with_partition_day(df.select(part), part).observe(rows, F.count(F.lit(1)).alias("rows"))
-    values = partition_values(days, part)
-    return values, int(rows.get["rows"])
+    day = partition_day(part, df.schema[part].dataType)
+    rows = df.groupBy(day.alias(part)).count().limit(MAX_PRUNE_VALUES + 1).collect()
+    if len(rows) > MAX_PRUNE_VALUES:
+        return None, None
+    return [r[0] for r in rows], sum(r[1] for r in rows)
 
 
 def batch_hot_keys(raw: DataFrame, spec: DatasetSpec, min_rows: int | None) -> list | None:
@@ -107,12 +109,11 @@ def load_conformed(
     part = spec.partition_key
     stored = open_layer(spark, lt)
 
-    if raw.isEmpty():  # D6 (reads the first rows only)
+    days, raw_rows = batch_days(raw, spec) if raw.columns else ([], 0)
+    if raw_rows == 0:  # D6: nothing to load, nothing written
         result.notes.append("empty file")
         result.partitions = []
         return result
-
-    days, raw_rows = batch_days(raw, spec)
     result.partitions = days
     batch = conformed_batch(raw, spec, load_ts)
     seen = Observation("incoming")
@@ -129,16 +130,19 @@ def load_conformed(
         result.existing = stored.count()
     # No key can pass the threshold unless the whole batch does.
     hot = None
-    if cfg.hot_key_rows is not None and raw_rows > cfg.hot_key_rows:
+    if cfg.hot_key_rows is not None and (raw_rows is None or raw_rows > cfg.hot_key_rows):
         hot = batch_hot_keys(raw, spec, cfg.hot_key_rows)
     new = new_lake_rows(batch, stored, part, days, hot=hot).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        result.new = new.count()
+        # Days that receive rows: the only partitions this append changes or
+        # creates. A subset of the batch's bounded day list, so they are
+        # gathered by the counting pass itself.
+        if days is not None:
+            result.new, touched = count_with_values(new, part)
+        else:
+            result.new, touched = new.count(), None
         result.incoming = int(seen.get["rows"])
         if result.new > 0:
-            # Days that receive rows (read from the cached new rows): the
-            # only partitions this append changes or creates.
-            touched = partition_values(new, part)
             backup = join_path(cfg.backup, target.subpath)
             scope = None if cfg.backup_scope == "table" else (touched if touched is not None else days)
             snapshot_layer(stored, backup, part, scope, cfg.fmt)  # A7

@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 
 from ..config import LakeConfig
 from ..functions.keys import HASH_COL
-from ..operators.increment import hot_keys, new_lake_rows, partition_values, prune_to_values
+from ..operators.increment import (
+    count_with_values,
+    hot_keys,
+    new_lake_rows,
+    partition_values,
+    prune_to_values,
+)
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
 from ..sources.layers import LayerTable, open_layer, save_to_layer, try_read_layer
@@ -120,9 +126,12 @@ def load_typed_layer(
         hot = hot_keys(conformed.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
     new = new_lake_rows(batch, stored, part, days, hot=hot).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        result.new = new.count()
+        if days is not None:
+            result.new, touched = count_with_values(new, part)
+        else:
+            result.new, touched = new.count(), None
         if result.new > 0:
-            save_to_layer(spark, dst, new, partition_values(new, part), mode="append")
+            save_to_layer(spark, dst, new, touched, mode="append")
     finally:
         new.unpersist()
     if cfg.full_counts:
