@@ -5,18 +5,18 @@ file's name (a ``LIKE '%dataset%'`` test, so ``_`` and ``%`` in a dataset
 name act as wildcards). That is a theta join; it runs as one broadcast
 nested-loop join with the business metadata as the broadcast side. The
 metadata is a configuration table, but its size is still checked before it
-is broadcast: above the limit it is split into hash chunks that each fit,
-and the chunk joins are unioned — every row is still compared, and no chunk
-ever exceeds the limit.
+is broadcast (``operators.broadcast``): above the limit it is split into
+hash chunks that each fit, and the chunk joins are unioned — every row is
+still compared, and no chunk ever exceeds the limit.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .broadcast import MAX_BROADCAST_ROWS, broadcast_join
+
 # Business metadata columns, in the order routed rows carry them.
 BUSINESS_COLUMNS = (
     "dataset",
@@ -36,11 +36,6 @@ BUSINESS_COLUMNS = (
 )
 LAYER_FLAGS = ("raw_layer", "conformed_layer", "enrich_layer", "sandbox_layer", "edw_layer")
 
-# Most business-metadata rows broadcast in one piece.
-MAX_BROADCAST_ROWS = 100_000
-
-_CHUNK = "__chunk"
-
 
 def match_condition(file_name: Column, dataset: Column) -> Column:
     """``lower(name) LIKE '%' || lower(trim(dataset)) || '%'``."""
@@ -48,20 +43,6 @@ def match_condition(file_name: Column, dataset: Column) -> Column:
     return F.like(F.lower(file_name), pattern)
 
 
-def _checked_chunks(meta: DataFrame, limit: int) -> list[DataFrame]:
-    """Split ``meta`` into pieces of at most ``limit`` rows each."""
-    n = meta.count()
-    if n <= limit:
-        return [meta]
-    chunks = max(2, math.ceil(2 * n / limit))
-    while True:
-        keyed = meta.withColumn(_CHUNK, F.pmod(F.xxhash64(*meta.columns), F.lit(chunks)))
-        sizes = keyed.groupBy(_CHUNK).count().collect()  # one row per chunk
-        if max(r["count"] for r in sizes) <= limit:
-            return [keyed.filter(F.col(_CHUNK) == i).drop(_CHUNK) for i in range(chunks)]
-        chunks *= 2
-
-
 def route(files: DataFrame, business: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Routed rows: (path, name, business columns..., derived names), distinct.
 
@@ -69,14 +50,7 @@ def route(files: DataFrame, business: DataFrame, limit: int = MAX_BROADCAST_ROWS
     replaced by ``_``).
     """
     meta = business.select(*[F.col(c) for c in BUSINESS_COLUMNS])
-    pieces = []
-    for chunk in _checked_chunks(meta, limit):
-        pieces.append(
-            files.join(F.broadcast(chunk), match_condition(F.col("d_name"), F.col("dataset")))
-        )
-    joined = pieces[0]
-    for p in pieces[1:]:
-        joined = joined.unionAll(p)
+    joined = broadcast_join(files, meta, match_condition(F.col("d_name"), F.col("dataset")), limit=limit)
     routed = joined.select("path", "name", *BUSINESS_COLUMNS).distinct()
     return with_target_names(routed)
 

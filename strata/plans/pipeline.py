@@ -1,25 +1,30 @@
 """Routing and the whole run (K3, K4, K9).
 
 ``route_files`` lists a folder and joins it with the business metadata on
-Spark; only the routed rows (one per file and matching dataset) reach the
-driver, which then runs the layer loads file by file. One file at a time is
-the semantics: which of several same-key rows survive depends on the order
-in which files arrive. Files of different datasets are independent and can
-run concurrently (``parallel_datasets``), each dataset's files still in order.
+Spark. The raw archive consumes the routed DataFrame directly; the layer
+loads need one routed row per file on the driver, and those are streamed in
+(dataset, file name) order with ``toLocalIterator``, so the driver holds one
+dataset's files at a time rather than the whole listing.
+
+One file at a time is the semantics: which of several same-key rows survive
+depends on the order in which files arrive. Files of different datasets are
+independent and can run concurrently (``parallel_datasets``), each dataset's
+files still in order.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections import OrderedDict
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import LakeConfig
 from ..operators.routing import route
 from ..sources.archive import archive_files
-from ..sources.files import list_files
+from ..sources.files import check_format, list_files
 from .conformed import load_conformed
 from .metadata import business_table, spec_for
 from .target import LoadResult, Target
@@ -33,19 +38,22 @@ def route_files(spark: SparkSession, cfg: LakeConfig, folder: str | None = None)
     return route(files, business_table(spark, cfg))
 
 
-def land_raw(spark: SparkSession, cfg: LakeConfig, targets: list[Target], day=None) -> int:
-    """K4: archive every routed file whose dataset has ``raw_layer = 'Y'``."""
-    rows = [
-        {
-            "path": t.path,
-            "name": t.name,
-            "deltaLake_root": t.root,
-            "delta_database_name": t.database,
-        }
-        for t in targets
-        if t.runs("raw_layer")
-    ]
-    return archive_files(spark, rows, cfg.archive, day)
+def land_raw(
+    spark: SparkSession,
+    cfg: LakeConfig,
+    routed: DataFrame,
+    day=None,
+    source: str | list[str] | None = None,
+) -> None:
+    """K4: archive every routed file whose dataset has ``raw_layer = 'Y'``.
+
+    ``source`` is the folder (or file list) whose lines are read; default
+    the incoming folder.
+    """
+    raw = routed.filter(F.col("raw_layer") == F.lit("Y"))
+    if raw.isEmpty():
+        return
+    archive_files(spark, raw, source or cfg.incoming, cfg.archive, day)
 
 
 def load_dataset_files(
@@ -58,6 +66,8 @@ def load_dataset_files(
     results: list[LoadResult] = []
     if not targets:
         return results
+    for t in targets:
+        check_format(t.path)  # A2: fail before anything of the dataset loads
     spec = spec_for(spark, cfg, targets[0].dataset)
     for t in sorted(targets, key=lambda t: t.name):
         days = None
@@ -77,6 +87,48 @@ def load_dataset_files(
     return results
 
 
+def dataset_groups(routed: DataFrame) -> Iterator[list[Target]]:
+    """Routed rows grouped by dataset, streamed in (dataset, name) order."""
+    group: list[Target] = []
+    for row in routed.orderBy("dataset", "name").toLocalIterator():
+        t = Target.from_row(row)
+        if group and group[0].dataset != t.dataset:
+            yield group
+            group = []
+        group.append(t)
+    if group:
+        yield group
+
+
+def run_routed(
+    spark: SparkSession,
+    cfg: LakeConfig,
+    routed: DataFrame,
+    load_ts: _dt.datetime,
+    parallel_datasets: int = 1,
+    source: str | list[str] | None = None,
+) -> list[dict]:
+    """Archive, then load every routed file, dataset by dataset."""
+    routed = routed.persist()  # read by the archive and by the file loop
+    try:
+        land_raw(spark, cfg, routed, load_ts.date(), source)
+        out: list[dict] = []
+        if parallel_datasets <= 1:
+            for group in dataset_groups(routed):
+                out.extend(r.as_dict() for r in load_dataset_files(spark, cfg, group, load_ts))
+            return out
+        with ThreadPoolExecutor(max_workers=parallel_datasets) as pool:
+            futures = [
+                pool.submit(load_dataset_files, spark, cfg, group, load_ts)
+                for group in dataset_groups(routed)
+            ]
+            for f in futures:
+                out.extend(r.as_dict() for r in f.result())
+        return out
+    finally:
+        routed.unpersist()
+
+
 def run_pipeline(
     spark: SparkSession,
     cfg: LakeConfig,
@@ -89,27 +141,5 @@ def run_pipeline(
     is missing, so a re-run after a failure completes the work.
     """
     load_ts = load_ts or _dt.datetime.now().replace(microsecond=0)
-    routed = [Target.from_row(r) for r in route_files(spark, cfg).collect()]
-    land_raw(spark, cfg, routed, load_ts.date())
-
-    by_dataset: "OrderedDict[str, list[Target]]" = OrderedDict()
-    for t in sorted(routed, key=lambda t: (t.dataset, t.name)):
-        by_dataset.setdefault(t.dataset, []).append(t)
-
-    def run(group: list[Target]) -> list[LoadResult]:
-        for t in group:
-            # A2: an unsupported file fails before anything is read.
-            from ..sources.files import check_format
-
-            check_format(t.path)
-        return load_dataset_files(spark, cfg, group, load_ts)
-
-    out: list[dict] = []
-    if parallel_datasets <= 1:
-        for group in by_dataset.values():
-            out.extend(r.as_dict() for r in run(group))
-    else:
-        with ThreadPoolExecutor(max_workers=parallel_datasets) as pool:
-            for res in pool.map(run, by_dataset.values()):
-                out.extend(r.as_dict() for r in res)
-    return out
+    routed = route_files(spark, cfg)
+    return run_routed(spark, cfg, routed, load_ts, parallel_datasets)

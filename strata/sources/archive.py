@@ -1,9 +1,12 @@
 """Raw archive of incoming files.
 
-The files' lines are read by Spark's text source (in parallel, split by the
-cluster) and written under ``root/database/yyyy/mm/dd/file_name``
-partitions with dynamic partition overwrite, so archiving the same file again
-on the same day replaces its earlier copy instead of doubling it.
+The folder's lines are read by Spark's text source (in parallel, split by
+the cluster), joined on the file path with the routed files whose dataset
+keeps a raw copy, and written under ``root/database/yyyy/mm/dd/file_name``
+partitions with dynamic partition overwrite: archiving the same file again
+on the same day replaces its earlier copy instead of doubling it. No file
+list passes through the driver, and lines keep their order within each part
+(a large file is archived as several ordered parts).
 """
 
 from __future__ import annotations
@@ -13,24 +16,33 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.broadcast import broadcast_join
+
 # Archive partition columns, outermost first.
 ARCHIVE_PARTITIONS = ("root", "database", "yyyy", "mm", "dd", "file_name")
 
 
-def archive_frame(spark: SparkSession, routes: list[dict], day: _dt.date) -> DataFrame | None:
-    """Raw lines of the routed files, tagged with their archive partition."""
-    if not routes:
-        return None
-    targets = spark.createDataFrame(
-        [(r["path"], r["name"], r["deltaLake_root"], r["delta_database_name"]) for r in routes],
-        "src_path string, file_name string, root string, database string",
+def archive_frame(
+    spark: SparkSession, routes: DataFrame, folder: str | list[str], day: _dt.date
+) -> DataFrame:
+    """Raw lines of the routed files, tagged with their archive partition.
+
+    ``routes`` has ``path``, ``name``, ``deltaLake_root`` and
+    ``delta_database_name`` (one row per file and dataset).
+    """
+    targets = routes.select(
+        F.col("path").alias("src_path"),
+        F.col("name").alias("file_name"),
+        F.col("deltaLake_root").alias("root"),
+        F.col("delta_database_name").alias("database"),
     ).distinct()
-    paths = sorted({r["path"] for r in routes})
-    lines = spark.read.text(paths).select(
+    lines = spark.read.text(folder).select(
         F.col("value"), F.col("_metadata.file_path").alias("src_path")
     )
-    # targets holds one row per routed file: bounded by the listing itself.
-    return lines.join(F.broadcast(targets), "src_path").select(
+    # Broadcast (size-checked, chunked beyond the limit): the lines are never
+    # shuffled, so a large file is not funnelled into one task and its lines
+    # stay in order.
+    return broadcast_join(lines, targets, "src_path").select(
         "value",
         "root",
         "database",
@@ -42,17 +54,18 @@ def archive_frame(spark: SparkSession, routes: list[dict], day: _dt.date) -> Dat
 
 
 def archive_files(
-    spark: SparkSession, routes: list[dict], archive_path: str, day: _dt.date | None = None
-) -> int:
-    """Archive the routed files; returns the number of files archived."""
+    spark: SparkSession,
+    routes: DataFrame,
+    folder: str | list[str],
+    archive_path: str,
+    day: _dt.date | None = None,
+) -> None:
+    """Archive the routed files found in ``folder``."""
     day = day or _dt.date.today()
-    frame = archive_frame(spark, routes, day)
-    if frame is None:
-        return 0
     (
-        frame.write.mode("overwrite")
+        archive_frame(spark, routes, folder, day)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*ARCHIVE_PARTITIONS)
         .text(archive_path)
     )
-    return len({r["path"] for r in routes})

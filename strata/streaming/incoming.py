@@ -23,9 +23,7 @@ from pyspark.sql import types as T
 from ..config import LakeConfig
 from ..operators.routing import route
 from ..plans.metadata import business_table
-from ..plans.pipeline import land_raw, load_dataset_files
-from ..plans.target import Target
-from ..sources.files import check_format
+from ..plans.pipeline import run_routed
 
 _FILE_SCHEMA = T.StructType(
     [
@@ -55,16 +53,14 @@ def incoming_files_stream(spark: SparkSession, folder: str, max_files: int = 100
 
 def _load_batch(spark: SparkSession, cfg: LakeConfig, load_ts, results: list):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        routed = [Target.from_row(r) for r in route(batch, business_table(spark, cfg)).collect()]
-        for t in routed:
-            check_format(t.path)
+        routed = route(batch, business_table(spark, cfg))
+        # A micro-batch holds at most maxFilesPerTrigger files: only those
+        # are read for the raw archive, not the whole folder.
+        paths = [r[0] for r in batch.select("path").distinct().collect()]
+        if not paths:
+            return
         ts = load_ts or _dt.datetime.now().replace(microsecond=0)
-        land_raw(spark, cfg, routed, ts.date())
-        groups: dict[str, list[Target]] = {}
-        for t in sorted(routed, key=lambda t: (t.dataset, t.name)):
-            groups.setdefault(t.dataset, []).append(t)
-        for group in groups.values():
-            results.extend(r.as_dict() for r in load_dataset_files(spark, cfg, group, ts))
+        results.extend(run_routed(spark, cfg, routed, ts, source=paths))
 
     return run
 

@@ -171,3 +171,18 @@ def test_hot_key_split_is_exact(spark):
     # k3 is stored on d1 (blocked), k4 only on d9 (not in the batch, kept).
     assert len(plain) == 12 + 19
     assert hot_keys(batch, min_rows=10, limit=1) == ["HOT"]
+
+
+def test_checked_broadcast_join_chunks_exactly(spark):
+    from strata.operators.broadcast import broadcast_join, checked_chunks
+
+    large = spark.range(200).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    pieces = checked_chunks(small, limit=7)
+    assert len(pieces) > 1 and all(p.count() <= 7 for p in pieces)
+    assert sum(p.count() for p in pieces) == 50
+    got = sorted(tuple(r) for r in broadcast_join(large, small, "k", limit=7).collect())
+    want = sorted(tuple(r) for r in large.join(small, "k").collect())
+    assert got == want
+    with pytest.raises(ValueError):
+        broadcast_join(large, small, "k", how="left_semi")

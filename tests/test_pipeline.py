@@ -125,8 +125,8 @@ def test_pipeline_end_to_end_and_rerun(spark, lake):
     from strata.sources.archive import archive_files
     from strata.plans.pipeline import route_files
 
-    routes = [r.asDict() for r in route_files(spark, lake).collect()]
-    archive_files(spark, routes, lake.archive, ts.date())
+    routes = route_files(spark, lake).filter("raw_layer = 'Y'")
+    archive_files(spark, routes, lake.incoming, lake.archive, ts.date())
     day1 = f"{lake.archive}/root=sales/database=tpch/yyyy=2024/mm=02/dd=01"
     assert spark.read.text(day1).count() == sum(
         len(t.splitlines()) for n, t in FILES.items() if n.startswith("orders")
