@@ -152,6 +152,15 @@ def new_orders(spark, sf_dir):
     return new_lake_rows(batch, stored, "o_orderdate")
 
 
+def new_lineitem(spark, sf_dir):
+    """E1 on the largest table: stored lines shipped before 1999, a batch
+    from 1998 on (key: order and line number)."""
+    li = _table(spark, sf_dir, "lineitem")
+    stored = conformed_batch(li.filter(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp")), LINEITEM, LOAD_TS)
+    batch = conformed_batch(li.filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp")), LINEITEM, LOAD_TS)
+    return new_lake_rows(batch, stored, "l_shipdate")
+
+
 def pruned_stored_orders(spark, sf_dir):
     """D3 alone: stored rows in the batch's partition days."""
     stored, batch = _orders_split(spark, sf_dir)
@@ -250,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_conversation_turns": distinct_conversation_turns,
     "new_orders": new_orders,
     "pruned_stored_orders": pruned_stored_orders,
+    "new_lineitem": new_lineitem,
     "new_events": new_events,
     "new_events_hot_keys": new_events_hot_keys,
     "load_counts_orders": load_counts_orders,
@@ -408,3 +418,11 @@ FROM pages p JOIN meta m
 }
 
 ORACLE_SQL["new_events_hot_keys"] = ORACLE_SQL["new_events"]
+
+ORACLE_SQL["new_lineitem"] = (
+    f"""
+WITH conf AS ({_CONF_LINEITEM}),
+stored AS (SELECT * FROM conf WHERE l_shipdate < '1999-01-01'),
+batch AS (SELECT * FROM conf WHERE l_shipdate >= '1998-01-01')"""
+    + _NEW_ROWS.format(p="l_shipdate")
+)
