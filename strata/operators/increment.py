@@ -193,11 +193,6 @@ def count_with_values(df: DataFrame, col: str) -> tuple[int, list | None]:
     return int(got["rows"]), values
 
 
-def row_count(name: str) -> tuple[Observation, Column]:
-    """An observation that counts the rows flowing through a plan (F1)."""
-    return Observation(name), F.count(F.lit(1)).alias("rows")
-
-
 def load_counts(stored: DataFrame | None, incoming: DataFrame, new: DataFrame) -> DataFrame:
     """F1 as a DataFrame: (metric, value) for existing, incoming, new, after."""
     empty = incoming.limit(0).select(F.lit(1).alias("x"))

@@ -9,6 +9,7 @@ string and must not come back as a date.
 from __future__ import annotations
 
 import contextlib
+import threading
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,15 +22,22 @@ DEFAULT_FORMAT = "parquet"
 _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
+# Loads that switch partition-type inference off are serialised: datasets may
+# load in parallel threads, and one thread restoring the setting must not
+# land in the middle of another thread's load.
+_INFER_LOCK = threading.Lock()
+
+
 @contextlib.contextmanager
 def _text_partitions(spark: SparkSession):
     """Partition values are parsed when the relation is resolved (at load)."""
-    old = spark.conf.get(_INFER, "true")
-    spark.conf.set(_INFER, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(_INFER, old)
+    with _INFER_LOCK:
+        old = spark.conf.get(_INFER, "true")
+        spark.conf.set(_INFER, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(_INFER, old)
 
 
 def _missing(exc: AnalysisException) -> bool:

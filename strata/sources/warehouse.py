@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .catalog import add_columns, qualified
 
@@ -25,10 +24,6 @@ def write_staging(df: DataFrame, db: str, table: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(qualified(db, table))
 
 
-def _ddl_type(dt: T.DataType) -> str:
-    return dt.simpleString()
-
-
 def insert_from_staging(
     spark: SparkSession,
     staging_db: str,
@@ -46,7 +41,7 @@ def insert_from_staging(
     target = spark.table(qualified(target_db, table))
     have = {f.name.lower() for f in target.schema.fields}
     extra = [f for f in staged.schema.fields if f.name.lower() not in have]
-    add_columns(spark, target_db, table, [(f.name, _ddl_type(f.dataType)) for f in extra])
+    add_columns(spark, target_db, table, [(f.name, f.dataType.simpleString()) for f in extra])
     if extra:
         target = spark.table(qualified(target_db, table))
 

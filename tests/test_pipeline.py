@@ -159,3 +159,34 @@ def test_incoming_stream_loads_only_new_files(spark, lake, scratch):
     later = run_incoming_stream(spark, lake, ckpt, load_ts=ts)
     assert [r["new"] for r in later if r["layer"] == "conformed"] == [1]
     assert read_layer(spark, f"{lake.conformed}/sales/tpch/core/orders").count() == 9
+
+
+def test_parallel_datasets_match_sequential(spark, scratch):
+    """Two datasets loaded in parallel threads give the same layers as one by one."""
+    copy_business = BUSINESS + "orders_copy,sales,tpch,core,orders_copy,dw,core2,orders_copy,v_orders_copy,N,Y,Y,N,N\n"
+    copy_technical = TECHNICAL + "".join(
+        line.replace("orders_feed,", "orders_copy,", 1) + "\n"
+        for line in TECHNICAL.strip().splitlines()[1:]
+    )
+    counts = {}
+    for mode, workers in (("seq", 1), ("par", 2)):
+        root = f"{scratch}/{mode}"
+        cfg = LakeConfig.under(root, conformed_db=f"p_{mode}_c", enriched_db=f"p_{mode}_e",
+                               sandbox_db=f"p_{mode}_s", metadata_db=f"p_{mode}_m")
+        _write(f"{root}/meta/business.csv", copy_business)
+        _write(f"{root}/meta/technical.csv", copy_technical)
+        load_business_metadata(spark, cfg, f"{root}/meta/business.csv")
+        load_technical_metadata(spark, cfg, f"{root}/meta/technical.csv")
+        for name in ("orders_feed__day1.csv", "orders_feed__day2.csv"):
+            _write(f"{cfg.incoming}/{name}", FILES[name])
+            _write(f"{cfg.incoming}/{name.replace('orders_feed', 'orders_copy')}", FILES[name])
+        spark.sql("DROP DATABASE IF EXISTS core CASCADE")
+        spark.sql("DROP DATABASE IF EXISTS staging_core CASCADE")
+        run_pipeline(spark, cfg, load_ts=dt.datetime(2024, 2, 1), parallel_datasets=workers)
+        counts[mode] = {
+            t: sorted(tuple(r) for r in read_layer(spark, f"{cfg.enriched}/sales/tpch/core/{t}")
+                      .select("calhashkey", "o_orderdate").collect())
+            for t in ("orders", "orders_copy")
+        }
+    assert counts["seq"] == counts["par"]
+    assert len(counts["par"]["orders"]) == len(counts["par"]["orders_copy"]) == 6
