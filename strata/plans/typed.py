@@ -1,13 +1,16 @@
 """Enriched and sandbox layer loads (K6, K7).
 
 Both read the conformed layer, cast the declared columns to their lake types
-(C7), pass undeclared columns through (C9) and append the rows whose hash is
-not stored yet in the target layer's matching partitions (D3, E1, I2).
-
-``partitions`` restricts the load to the conformed days a batch touched: the
-filter is static, so both the conformed scan and the target scan are pruned
-to those partition folders. ``None`` compares the whole conformed layer with
-the target (a full reconcile, which also repairs an earlier failed load).
+(C7), pass undeclared columns through (C9) and append the distinct rows
+whose hash is not in the target layer yet (E1, I2). The target is pruned to
+the days of the whole conformed layer, which hold all of its rows, so its
+whole hash column is the stored side: a hash the target holds on any day
+blocks the row.
+
+``partitions`` restricts the *batch* to the conformed days one load touched
+(a static filter, so only those conformed folders are read): rows on other
+days were handled by earlier loads. ``None`` reads the whole conformed layer
+(a full reconcile, which also repairs an earlier failed load).
 """
 
 from __future__ import annotations
@@ -19,9 +22,9 @@ from pyspark.sql import functions as F
 from ..config import LakeConfig
 from ..functions.keys import HASH_COL
 from ..operators.increment import (
+    anti_join_new,
     count_with_values,
     hot_keys,
-    new_lake_rows,
     partition_values,
     prune_to_values,
 )
@@ -124,7 +127,10 @@ def load_typed_layer(
     hot = None
     if cfg.hot_key_rows is not None:
         hot = hot_keys(conformed.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
-    new = new_lake_rows(batch, stored, part, days, hot=hot).persist(StorageLevel.MEMORY_AND_DISK)
+    # The stored side is the target's whole (de-duplicated) hash column: the
+    # target is compared against every conformed day, and its days are a
+    # subset of those, so no partition of it can be skipped.
+    new = anti_join_new(batch, stored, HASH_COL, hot).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if days is not None:
             result.new, touched = count_with_values(new, part)

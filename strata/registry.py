@@ -194,7 +194,8 @@ def load_counts_orders(spark, sf_dir):
 
 
 def typed_new_orders(spark, sf_dir):
-    """K6 core: typed batch vs typed stored layer, partition column a date."""
+    """E1 on typed frames: the partition column is a date, the prune list
+    text (C7 lake types on both sides)."""
     stored, batch = _orders_split(spark, sf_dir)
     return new_lake_rows(typed_batch(batch, ORDERS), typed_batch(stored, ORDERS), "o_orderdate")
 
