@@ -17,9 +17,10 @@ sort-merge join.
 Hot keys: AQE's skew-join split does not apply here — the de-duplicating
 aggregate sits directly under the join, so the stored side is not a bare
 shuffle. Keys that carry a large share of a batch (``hot_keys``) are
-therefore settled outside the shuffle: the stored side is filtered to those
-few keys, and the batch's hot rows are kept or dropped by a static
-predicate. The split is exact; it only changes where the work runs.
+therefore settled outside the join: the stored side is filtered to those few
+keys, the batch's hot rows cross the shuffle under a salted key (spread by a
+hash of the whole row) and are kept or dropped by a static predicate. The
+split is exact; it only changes where the work runs.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 _STORED_KEY = "__stored_key"
+_JOIN_KEY = "__join_key"
+_SALTS = 1024
 _VALUE_SEP = "\u0001"
 _BATCH_PART = "__batch_part"
 
@@ -119,10 +122,9 @@ def anti_join_new(
     """Batch rows whose key is not among the stored keys.
 
     Keeps the batch's column order. ``hot`` lists keys that carry a large
-    share of the batch: they are settled without a shuffle (the stored side
-    is filtered to those few keys, and the batch's hot rows are kept or
-    dropped by a static predicate); only the remaining keys go through the
-    shuffled anti-join, so no task receives a hot key's rows.
+    share of the batch: they are settled by a lookup of those few keys on the
+    stored side and a static predicate, while their rows are spread over the
+    shuffle by a salted join key, so no task receives all of a hot key's rows.
     """
     keys = stored_keys(stored, key)
     if not hot:
@@ -130,10 +132,15 @@ def anti_join_new(
     is_hot = F.col(key).isin(hot)
     stored_hot = {r[0] for r in stored.filter(is_hot).select(key).distinct().collect()}
     fresh_hot = [k for k in hot if k not in stored_hot]
-    cold = batch.filter(~is_hot).join(keys, F.col(key) == F.col(_STORED_KEY), "left_anti")
-    if not fresh_hot:
-        return cold
-    return cold.unionByName(batch.filter(F.col(key).isin(fresh_hot)))
+    # Hot rows join on a salted key that no stored key can equal (stored keys
+    # are hex digests, the salt starts with "~"): they pass the anti-join
+    # spread over many reducers by a hash of the whole row, and the static
+    # list then keeps those whose key is not stored. The batch is read once.
+    salt = F.concat(F.lit("~"), F.pmod(F.xxhash64(*batch.columns), F.lit(_SALTS)).cast("string"))
+    joined = batch.withColumn(_JOIN_KEY, F.when(is_hot, salt).otherwise(F.col(key)))
+    out = joined.join(keys, F.col(_JOIN_KEY) == F.col(_STORED_KEY), "left_anti")
+    keep = ~is_hot | F.col(key).isin(fresh_hot) if fresh_hot else ~is_hot
+    return out.filter(keep).drop(_JOIN_KEY)
 
 
 def new_lake_rows(

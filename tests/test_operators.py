@@ -186,3 +186,18 @@ def test_checked_broadcast_join_chunks_exactly(spark):
     assert got == want
     with pytest.raises(ValueError):
         broadcast_join(large, small, "k", how="left_semi")
+
+
+def test_hot_key_split_reads_the_batch_once(spark):
+    from strata.operators import hot_keys
+
+    rows = [("HOT", "d1", i) for i in range(30)] + [(f"k{i}", "d1", 100 + i) for i in range(20)]
+    batch = _layer(spark, rows).distinct()
+    stored = _layer(spark, [("k1", "d1", -1)])
+    hot = hot_keys(batch, min_rows=10)
+    out = new_lake_rows(batch, stored, "p", values=["d1"], hot=hot)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # one scan of the batch and one of the stored side: hot rows are not a
+    # second branch over the batch
+    assert plan.count("Scan ExistingRDD") == 2, plan
+    assert out.count() == 49
