@@ -117,12 +117,14 @@ def run_routed(
             for group in dataset_groups(routed):
                 out.extend(r.as_dict() for r in load_dataset_files(spark, cfg, group, load_ts))
             return out
+        # At most 2 x parallel_datasets groups are held on the driver at once.
         with ThreadPoolExecutor(max_workers=parallel_datasets) as pool:
-            futures = [
-                pool.submit(load_dataset_files, spark, cfg, group, load_ts)
-                for group in dataset_groups(routed)
-            ]
-            for f in futures:
+            pending: list = []
+            for group in dataset_groups(routed):
+                pending.append(pool.submit(load_dataset_files, spark, cfg, group, load_ts))
+                if len(pending) >= 2 * parallel_datasets:
+                    out.extend(r.as_dict() for r in pending.pop(0).result())
+            for f in pending:
                 out.extend(r.as_dict() for r in f.result())
         return out
     finally:

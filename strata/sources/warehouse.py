@@ -58,4 +58,7 @@ def insert_from_staging(
     rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(
         qualified(target_db, table)
     )
-    return int(obs.get.get("rows", 0))
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # no metrics when there was nothing to observe
+        return staged.count()
