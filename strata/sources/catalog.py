@@ -14,6 +14,10 @@ from pyspark.sql.types import StructType
 
 _IDENT = re.compile(r"^[A-Za-z0-9_]+$")
 
+# Table formats that track their own schema and data files in a transaction
+# log: the catalog only points at them (no column list, no partition list).
+LOGGED_FORMATS = frozenset({"delta"})
+
 
 def quote(name: str) -> str:
     if name is None or not _IDENT.match(str(name)):
@@ -57,6 +61,10 @@ def register_layer_table(
     ensure_database(spark, db)
     name = qualified(db, table)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if fmt in LOGGED_FORMATS:
+        # The table format keeps schema and files in its own log.
+        spark.sql(f"CREATE TABLE {name} USING {quote(fmt)} LOCATION {_sql_string(path)}")
+        return
     cols = ""
     parts = ""
     if schema is not None:

@@ -16,7 +16,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-from .catalog import add_columns, add_partitions, qualified, register_layer_table, same_location, table_location
+from .catalog import (
+    LOGGED_FORMATS,
+    add_columns,
+    add_partitions,
+    qualified,
+    register_layer_table,
+    same_location,
+    table_location,
+)
 
 DEFAULT_FORMAT = "parquet"
 _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
@@ -51,6 +59,8 @@ def _missing(exc: AnalysisException) -> bool:
 
 def read_layer(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     """A4: read a layer table; partition columns come back as strings."""
+    if fmt in LOGGED_FORMATS:
+        return spark.read.format(fmt).load(path)  # schema and types from the log
     with _text_partitions(spark):
         return spark.read.format(fmt).option("mergeSchema", "true").load(path)
 
@@ -84,13 +94,10 @@ def write_layer(
     ``rebalance`` hint lets AQE size the write tasks: a hot day is split over
     several tasks (several files) and small days are packed together.
     """
-    (
-        df.hint("rebalance", partition_col)
-        .write.format(fmt)
-        .mode(mode)
-        .partitionBy(partition_col)
-        .save(path)
-    )
+    writer = df.hint("rebalance", partition_col).write.format(fmt).mode(mode)
+    if fmt in LOGGED_FORMATS:
+        writer = writer.option("mergeSchema", "true")  # schema evolution in the log
+    writer.partitionBy(partition_col).save(path)
 
 
 def snapshot_layer(
@@ -163,6 +170,9 @@ def open_layer(spark: SparkSession, lt: LayerTable) -> DataFrame | None:
     df = try_read_layer(spark, lt.path, lt.fmt)
     if df is None:
         return None
+    if lt.fmt in LOGGED_FORMATS:
+        register_layer_table(spark, lt.db, lt.table, lt.path, lt.fmt)
+        return spark.table(lt.name)
     schema = _with_partition_type(df.schema, lt.partition_col, lt.partition_type)
     register_layer_table(spark, lt.db, lt.table, lt.path, lt.fmt, schema, lt.partition_col)
     return spark.table(lt.name)
@@ -186,6 +196,9 @@ def save_to_layer(
             spark, lt.db, lt.table, lt.path, lt.fmt, df.schema, lt.partition_col, values
         )
         return
+    if lt.fmt in LOGGED_FORMATS:
+        spark.catalog.refreshTable(f"{lt.db}.{lt.table}")
+        return
     have = {f.name.lower() for f in spark.table(lt.name).schema.fields}
     extra = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name.lower() not in have]
     add_columns(spark, lt.db, lt.table, extra)
