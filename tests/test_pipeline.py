@@ -109,6 +109,16 @@ def test_pipeline_end_to_end_and_rerun(spark, lake):
     assert whrows[1].o_orderstatus == "F"  # varchar(1) truncation
     assert whrows[1].calinsertdate == ts.date()
     assert "growth_percent" in wh.columns and whrows[8].growth_percent == "6"
+    # H2: within each warehouse file, rows descend on the cluster column
+    from pyspark.sql import functions as F
+
+    located = spark.table("core.orders").select(
+        F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("pos"), "o_orderkey"
+    ).collect()
+    by_file = {}
+    for r in sorted(located, key=lambda r: (r.f, r.pos)):
+        by_file.setdefault(r.f, []).append(r.o_orderkey)
+    assert by_file and all(keys == sorted(keys, reverse=True) for keys in by_file.values())
 
     assert spark.table("t_conformed.core_orders").count() == 8
     assert dict(spark.table("t_conformed.core_orders").dtypes)["o_orderdate"] == "string"
