@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from .catalog import (
@@ -149,12 +150,13 @@ class LayerTable:
         return qualified(self.db, self.table)
 
 
-def _with_partition_type(schema: StructType, col: str, dtype: str | None) -> StructType:
+def _with_partition_type(
+    spark: SparkSession, schema: StructType, col: str, dtype: str | None
+) -> StructType:
     if dtype is None:
         return schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    target = _parse_datatype_string(dtype)
+    # Resolve the type text the way a cast does (analyzer, no private API).
+    target = spark.range(0).select(F.lit(None).cast(dtype).alias(col)).schema[col].dataType
     return StructType([StructField(f.name, target, True) if f.name == col else f for f in schema.fields])
 
 
@@ -173,7 +175,7 @@ def open_layer(spark: SparkSession, lt: LayerTable) -> DataFrame | None:
     if lt.fmt in LOGGED_FORMATS:
         register_layer_table(spark, lt.db, lt.table, lt.path, lt.fmt)
         return spark.table(lt.name)
-    schema = _with_partition_type(df.schema, lt.partition_col, lt.partition_type)
+    schema = _with_partition_type(spark, df.schema, lt.partition_col, lt.partition_type)
     register_layer_table(spark, lt.db, lt.table, lt.path, lt.fmt, schema, lt.partition_col)
     return spark.table(lt.name)
 

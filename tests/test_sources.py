@@ -106,3 +106,14 @@ def test_logged_format_layer_roundtrip(spark, scratch):
     save_to_layer(spark, lt, more, ["2024-01-02"], mode="append")
     got = open_layer(spark, lt)
     assert got.count() == 2 and "extra" in got.columns
+
+
+def test_adopting_a_typed_layer_restores_partition_type(spark, scratch):
+    lt = LayerTable(f"{scratch}/typed", "t_src", "typed_layer", "d", partition_type="date")
+    spark.sql("DROP TABLE IF EXISTS t_src.typed_layer")
+    df = spark.createDataFrame([("h1", 1)], "calhashkey string, v int").withColumn("d", F.lit("1995-01-02").cast("date"))
+    save_to_layer(spark, lt, df, ["1995-01-02"], mode="errorifexists")
+    spark.sql("DROP TABLE t_src.typed_layer")  # a new session: only the folders remain
+    got = open_layer(spark, lt)
+    assert dict(got.dtypes)["d"] == "date"
+    assert got.filter(F.col("d") == F.lit("1995-01-02").cast("date")).count() == 1
