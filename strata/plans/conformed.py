@@ -23,7 +23,14 @@ from pyspark.sql import functions as F
 from ..config import LakeConfig, join_path
 from ..functions.keys import partition_day, with_audit_columns, with_partition_day, with_row_hash
 from ..functions.names import clean_columns
-from ..operators.increment import MAX_PRUNE_VALUES, count_with_values, hot_keys, new_lake_rows
+from ..operators.increment import (
+    MAX_PRUNE_VALUES,
+    count_with_values,
+    hot_keys,
+    new_lake_rows,
+    prune_to_batch,
+    prune_to_values,
+)
 from ..operators.spec import DatasetSpec
 from ..sources.files import read_csv
 from ..sources.layers import LayerTable, open_layer, save_to_layer, snapshot_layer
@@ -144,8 +151,13 @@ def load_conformed(
         result.incoming = int(seen.get["rows"])
         if result.new > 0:
             backup = join_path(cfg.backup, target.subpath)
-            scope = None if cfg.backup_scope == "table" else (touched if touched is not None else days)
-            snapshot_layer(stored, backup, part, scope, cfg.fmt)  # A7
+            if cfg.backup_scope == "table":
+                before = stored
+            elif touched is not None:
+                before = prune_to_values(stored, part, touched)
+            else:  # too many days to list: semi-join on the new rows' days
+                before = prune_to_batch(stored, new, part)
+            snapshot_layer(before, backup, part, None, cfg.fmt)  # A7
             result.backup = backup
             save_to_layer(spark, lt, new, touched, mode="append")  # A6
     finally:

@@ -100,7 +100,8 @@ def load_typed_layer(
         conformed = prune_to_values(conformed, part, partitions)
     batch = typed_batch(conformed, spec)
     # The days present in the typed batch, as the target stores them (the
-    # lake type's text form may differ from the conformed one).
+    # lake type's text form may differ from the conformed one); None above
+    # the listing limit.
     if partitions is not None:
         # Every day of a conformed batch holds conformed rows once that load
         # is done, so the typed days are the hint's days in the lake type.
@@ -111,7 +112,7 @@ def load_typed_layer(
     stored = open_layer(spark, dst)
 
     if stored is None:
-        if not days:
+        if days == []:  # None means "too many days to list", not "none"
             result.notes.append("conformed layer is empty")
             return result
         seen = Observation(f"{layer}-created")

@@ -225,3 +225,28 @@ def test_enriched_blocks_a_key_stored_on_another_day(spark, scratch):
     enriched = read_layer(spark, f"{cfg.enriched}/r/d/s/ev")
     assert sorted(r.v for r in conformed.collect()) == ["1", "2", "3"]
     assert sorted(r.v for r in enriched.collect()) == [1, 3]
+
+
+def test_typed_load_with_more_days_than_the_listing_limit(spark, scratch, monkeypatch):
+    """Above the day-list limit the loads fall back to unlisted partitions
+    (catalog discovery) instead of treating the batch as empty."""
+    import strata.operators.increment as inc
+    import strata.plans.typed as typed_mod
+    from strata.operators import specs_from_rows
+    from strata.plans import Target, load_conformed, load_enriched
+
+    keys = ("columnname", "colseq", "delta", "sql", "hashkeycheck", "partitionkeycheck", "clusterindexcol")
+    spec = specs_from_rows("lim", [dict(zip(keys, ("k", "1", "int", "int", "Y", "N", "N"))),
+                                   dict(zip(keys, ("day", "2", "date", "date", "N", "Y", "N")))])
+    cfg = LakeConfig.under(scratch, conformed_db="lim_c", enriched_db="lim_e")
+    path = f"{cfg.incoming}/lim__1.csv"
+    _write(path, "k,day\n1,2024-01-01\n2,2024-01-02\n3,2024-01-03\n")
+    t = Target(path, "lim__1.csv", "lim", "r", "d", "s", "lim", "dw", "s", "lim", "v_lim")
+    load_conformed(spark, cfg, t, spec, dt.datetime(2024, 2, 1))
+    monkeypatch.setattr(inc, "MAX_PRUNE_VALUES", 2)
+    orig = typed_mod.partition_values
+    monkeypatch.setattr(typed_mod, "partition_values", lambda df, col: orig(df, col, limit=2))
+    res = load_enriched(spark, cfg, t, spec, None)
+    assert res.partitions is None and res.created and res.new == 3
+    assert read_layer(spark, f"{cfg.enriched}/r/d/s/lim").count() == 3
+    assert spark.table("lim_e.s_lim").count() == 3
