@@ -250,3 +250,18 @@ def test_typed_load_with_more_days_than_the_listing_limit(spark, scratch, monkey
     assert res.partitions is None and res.created and res.new == 3
     assert read_layer(spark, f"{cfg.enriched}/r/d/s/lim").count() == 3
     assert spark.table("lim_e.s_lim").count() == 3
+
+    # conformed append above the limit: no day list, backup by semi-join,
+    # partitions found by catalog discovery
+    import strata.plans.conformed as conf_mod
+
+    monkeypatch.setattr(conf_mod, "MAX_PRUNE_VALUES", 2)
+    path2 = f"{cfg.incoming}/lim__2.csv"
+    _write(path2, "k,day\n1,2024-01-01\n4,2024-01-01\n5,2024-01-04\n6,2024-01-05\n")
+    t2 = Target(path2, "lim__2.csv", "lim", "r", "d", "s", "lim", "dw", "s", "lim", "v_lim")
+    res2 = load_conformed(spark, cfg, t2, spec, dt.datetime(2024, 2, 2))
+    assert res2.partitions is None and res2.new == 3
+    assert spark.table("lim_c.s_lim").count() == 6
+    backup = read_layer(spark, res2.backup)
+    # new rows land on 01-01, 01-04, 01-05; of those only 01-01 held stored rows
+    assert sorted(r.k for r in backup.collect()) == ["1"]
