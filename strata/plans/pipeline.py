@@ -53,7 +53,7 @@ def land_raw(
     raw = routed.filter(F.col("raw_layer") == F.lit("Y"))
     if raw.isEmpty():
         return
-    archive_files(spark, raw, source or cfg.incoming, cfg.archive, day)
+    archive_files(spark, raw, source or cfg.incoming, cfg.archive, day, folder=cfg.incoming)
 
 
 def load_dataset_files(

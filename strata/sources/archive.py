@@ -17,27 +17,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.broadcast import broadcast_join
+from .files import top_entry
 
 # Archive partition columns, outermost first.
 ARCHIVE_PARTITIONS = ("root", "database", "yyyy", "mm", "dd", "file_name")
 
 
 def archive_frame(
-    spark: SparkSession, routes: DataFrame, folder: str | list[str], day: _dt.date
+    spark: SparkSession,
+    routes: DataFrame,
+    source: str | list[str],
+    day: _dt.date,
+    folder: str | None = None,
 ) -> DataFrame:
     """Raw lines of the routed files, tagged with their archive partition.
 
     ``routes`` has ``path``, ``name``, ``deltaLake_root`` and
-    ``delta_database_name`` (one row per file and dataset).
+    ``delta_database_name`` (one row per entry and dataset). ``source`` is
+    what is read (the incoming folder, or a list of entries); ``folder`` is
+    the incoming folder, whose direct entries the lines are mapped back to.
     """
+    folder = folder or (source if isinstance(source, str) else None)
     targets = routes.select(
         F.col("path").alias("src_path"),
         F.col("name").alias("file_name"),
         F.col("deltaLake_root").alias("root"),
         F.col("delta_database_name").alias("database"),
     ).distinct()
-    lines = spark.read.text(folder).select(
-        F.col("value"), F.col("_metadata.file_path").alias("src_path")
+    src = F.col("_metadata.file_path")
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(source)
+        .select(F.col("value"), (top_entry(src, folder) if folder else src).alias("src_path"))
     )
     # Broadcast (size-checked, chunked beyond the limit): the lines are never
     # shuffled, so a large file is not funnelled into one task and its lines
@@ -56,14 +67,15 @@ def archive_frame(
 def archive_files(
     spark: SparkSession,
     routes: DataFrame,
-    folder: str | list[str],
+    source: str | list[str],
     archive_path: str,
     day: _dt.date | None = None,
+    folder: str | None = None,
 ) -> None:
-    """Archive the routed files found in ``folder``."""
+    """Archive the routed entries read from ``source``."""
     day = day or _dt.date.today()
     (
-        archive_frame(spark, routes, folder, day)
+        archive_frame(spark, routes, source, day, folder)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*ARCHIVE_PARTITIONS)

@@ -24,6 +24,7 @@ from ..config import LakeConfig
 from ..operators.routing import route
 from ..plans.metadata import business_table
 from ..plans.pipeline import run_routed
+from ..sources.files import top_entry
 
 _FILE_SCHEMA = T.StructType(
     [
@@ -41,11 +42,14 @@ def incoming_files_stream(spark: SparkSession, folder: str, max_files: int = 100
         spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
         .option("maxFilesPerTrigger", max_files)
+        .option("recursiveFileLookup", "true")
         .load(folder)
     )
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    # Part files of a directory-style feed map to the directory (one entry).
+    entry = top_entry(F.col("path"), folder)
+    name = F.regexp_extract(entry, r"([^/]+)$", 1)
     return files.select(
-        "path",
+        entry.alias("path"),
         name.alias("name"),
         F.replace(name, F.lit("__"), F.lit("_")).alias("d_name"),
     )
@@ -53,6 +57,7 @@ def incoming_files_stream(spark: SparkSession, folder: str, max_files: int = 100
 
 def _load_batch(spark: SparkSession, cfg: LakeConfig, load_ts, results: list):
     def run(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.distinct()  # several part files of one entry
         routed = route(batch, business_table(spark, cfg))
         # A micro-batch holds at most maxFilesPerTrigger files: only those
         # are read for the raw archive, not the whole folder.

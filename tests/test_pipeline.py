@@ -265,3 +265,23 @@ def test_typed_load_with_more_days_than_the_listing_limit(spark, scratch, monkey
     backup = read_layer(spark, res2.backup)
     # new rows land on 01-01, 01-04, 01-05; of those only 01-01 held stored rows
     assert sorted(r.k for r in backup.collect()) == ["1"]
+
+
+def test_directory_feed_is_one_file(spark, scratch):
+    """A feed written by another Spark job (a directory of part files) routes
+    by the directory's name and loads whole; its archive holds all lines."""
+    cfg = LakeConfig.under(scratch, conformed_db="dir_c", enriched_db="dir_e", sandbox_db="dir_s",
+                           metadata_db="dir_m")
+    _write(f"{scratch}/meta/business.csv", BUSINESS.replace(",Y,Y,Y,Y,Y", ",Y,Y,N,N,N"))
+    _write(f"{scratch}/meta/technical.csv", TECHNICAL)
+    load_business_metadata(spark, cfg, f"{scratch}/meta/business.csv")
+    load_technical_metadata(spark, cfg, f"{scratch}/meta/technical.csv")
+    rows = [("1", "10", "F", "1.00", "1995-01-01"), ("2", "20", "O", "2.00", "1995-01-02"),
+            ("3", "30", "P", "3.00", "1995-01-03")]
+    (spark.createDataFrame(rows, "O_OrderKey string, O_CustKey string, O_OrderStatus string, "
+                                 "O_TotalPrice string, O_OrderDate string")
+     .repartition(3).write.option("header", True).csv(f"{cfg.incoming}/orders_feed__day9.csv"))
+    res = run_pipeline(spark, cfg, load_ts=dt.datetime(2024, 2, 1))
+    assert [r["new"] for r in res if r["layer"] == "conformed"] == [3]
+    arch = spark.read.text(f"{cfg.archive}/root=sales/database=tpch/yyyy=2024/mm=02/dd=01/file_name=orders_feed__day9.csv")
+    assert arch.filter("value like 'O_OrderKey%'").count() >= 1 and arch.count() >= 4

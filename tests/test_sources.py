@@ -117,3 +117,16 @@ def test_adopting_a_typed_layer_restores_partition_type(spark, scratch):
     got = open_layer(spark, lt)
     assert dict(got.dtypes)["d"] == "date"
     assert got.filter(F.col("d") == F.lit("1995-01-02").cast("date")).count() == 1
+
+
+def test_listing_maps_part_files_to_their_directory(spark, scratch):
+    folder = f"{scratch}/in"
+    os.makedirs(folder)
+    with open(f"{folder}/orders_feed__a.csv", "w") as f:
+        f.write("k,day\n1,2024-01-01\n")
+    two = spark.createDataFrame([(2, "2024-01-02"), (3, "2024-01-03")], "k int, day string")
+    two.repartition(2).write.option("header", True).csv(f"{folder}/orders_feed__b.csv")
+    rows = sorted((r.name, r.d_name) for r in list_files(spark, folder).collect())
+    assert rows == [("orders_feed__a.csv", "orders_feed_a.csv"), ("orders_feed__b.csv", "orders_feed_b.csv")]
+    entry = [r.path for r in list_files(spark, folder).collect() if r.name == "orders_feed__b.csv"][0]
+    assert read_csv(spark, entry).count() == 2
