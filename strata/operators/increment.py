@@ -58,6 +58,22 @@ def partition_values(df: DataFrame, col: str, limit: int = MAX_PRUNE_VALUES) ->
     return [r[0] for r in rows]
 
 
+def partition_counts(
+    df: DataFrame, col: str | Column, name: str, limit: int = MAX_PRUNE_VALUES
+) -> tuple[list | None, int | None]:
+    """Distinct values of a partition expression and the total row count.
+
+    One aggregation reading only that column; at most ``limit + 1``
+    (value, count) pairs reach the driver. Above ``limit`` both results are
+    None (too many values for a static list).
+    """
+    expr = F.col(col) if isinstance(col, str) else col
+    rows = df.groupBy(expr.cast("string").alias(name)).count().limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None, None
+    return [r[0] for r in rows], sum(r[1] for r in rows)
+
+
 def partition_predicate(col: str, values: list) -> Column:
     """``p IN (values) [OR p IS NULL]`` — NULL is matched explicitly (D3)."""
     present = [v for v in values if v is not None]

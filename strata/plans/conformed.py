@@ -28,6 +28,7 @@ from ..operators.increment import (
     count_with_values,
     hot_keys,
     new_lake_rows,
+    partition_counts,
     prune_to_batch,
     prune_to_values,
 )
@@ -72,10 +73,7 @@ def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int | No
     df = clean_columns(raw)
     part = _resolve(df, spec.partition_key)
     day = partition_day(part, df.schema[part].dataType)
-    rows = df.groupBy(day.alias(part)).count().limit(MAX_PRUNE_VALUES + 1).collect()
-    if len(rows) > MAX_PRUNE_VALUES:
-        return None, None
-    return [r[0] for r in rows], sum(r[1] for r in rows)
+    return partition_counts(df, day, part, MAX_PRUNE_VALUES)
 
 
 def batch_hot_keys(raw: DataFrame, spec: DatasetSpec, min_rows: int | None) -> list | None:

@@ -25,6 +25,7 @@ from ..operators.increment import (
     anti_join_new,
     count_with_values,
     hot_keys,
+    partition_counts,
     partition_values,
     prune_to_values,
 )
@@ -99,22 +100,23 @@ def load_typed_layer(
             return result
         conformed = prune_to_values(conformed, part, partitions)
     batch = typed_batch(conformed, spec)
-    # The days present in the typed batch, as the target stores them (the
-    # lake type's text form may differ from the conformed one); None above
+    # One pass over the conformed partition column (no data columns): the
+    # days the batch really holds and its row count. The days are turned
+    # into the lake type's text form, as the target stores them; None above
     # the listing limit.
-    if partitions is not None:
-        # Every day of a conformed batch holds conformed rows once that load
-        # is done, so the typed days are the hint's days in the lake type.
-        days = typed_partition_texts(spark, partitions, dst.partition_type)
+    conformed_days, conformed_rows = partition_counts(conformed, part, part)
+    if conformed_rows == 0:
+        result.notes.append("no conformed rows to load")
+        result.partitions = []
+        return result
+    if conformed_days is not None:
+        days = typed_partition_texts(spark, conformed_days, dst.partition_type)
     else:
         days = partition_values(batch, part)
     result.partitions = days
     stored = open_layer(spark, dst)
 
     if stored is None:
-        if days == []:  # None means "too many days to list", not "none"
-            result.notes.append("conformed layer is empty")
-            return result
         seen = Observation(f"{layer}-created")
         save_to_layer(
             spark, dst, batch.observe(seen, F.count(F.lit(1)).alias("rows")), days, mode="errorifexists"
@@ -125,8 +127,9 @@ def load_typed_layer(
 
     if cfg.full_counts:
         result.existing = stored.count()
+    # No key can pass the threshold unless the whole batch does.
     hot = None
-    if cfg.hot_key_rows is not None:
+    if cfg.hot_key_rows is not None and (conformed_rows is None or conformed_rows > cfg.hot_key_rows):
         hot = hot_keys(conformed.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
     # The stored side is the target's whole (de-duplicated) hash column: the
     # target is compared against every conformed day, and its days are a

@@ -48,7 +48,9 @@ def load_warehouse(
         if cfg.full_counts:
             result.existing = stored.count()
         hot = None
-        if cfg.hot_key_rows is not None:
+        # No key can pass the threshold unless the whole batch does (the
+        # count reads file footers only).
+        if cfg.hot_key_rows is not None and src.count() > cfg.hot_key_rows:
             hot = hot_keys(src.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
         new = new_warehouse_rows(typed, stored, hot=hot)  # E2
     else:

@@ -246,6 +246,10 @@ def test_typed_load_with_more_days_than_the_listing_limit(spark, scratch, monkey
     monkeypatch.setattr(inc, "MAX_PRUNE_VALUES", 2)
     orig = typed_mod.partition_values
     monkeypatch.setattr(typed_mod, "partition_values", lambda df, col: orig(df, col, limit=2))
+    orig_counts = typed_mod.partition_counts
+    monkeypatch.setattr(
+        typed_mod, "partition_counts", lambda df, col, name: orig_counts(df, col, name, limit=2)
+    )
     res = load_enriched(spark, cfg, t, spec, None)
     assert res.partitions is None and res.created and res.new == 3
     assert read_layer(spark, f"{cfg.enriched}/r/d/s/lim").count() == 3
