@@ -42,6 +42,7 @@ MAX_HOT_KEYS = 10_000
 
 _STORED_KEY = "__stored_key"
 _JOIN_KEY = "__join_key"
+_HOT_FLAG = "__hot"
 _SALTS = 1024
 _VALUE_SEP = "\u0001"
 _BATCH_PART = "__batch_part"
@@ -148,15 +149,21 @@ def anti_join_new(
     is_hot = F.col(key).isin(hot)
     stored_hot = {r[0] for r in stored.filter(is_hot).select(key).distinct().collect()}
     fresh_hot = [k for k in hot if k not in stored_hot]
-    # Hot rows join on a salted key that no stored key can equal (stored keys
-    # are hex digests, the salt starts with "~"): they pass the anti-join
-    # spread over many reducers by a hash of the whole row, and the static
-    # list then keeps those whose key is not stored. The batch is read once.
+    # Hot rows join on a salted key and a flag that rules out every match:
+    # they pass the anti-join spread over many reducers by a hash of the
+    # whole row, and the static list then keeps those whose key is not
+    # stored. The batch is read once.
     salt = F.concat(F.lit("~"), F.pmod(F.xxhash64(*batch.columns), F.lit(_SALTS)).cast("string"))
-    joined = batch.withColumn(_JOIN_KEY, F.when(is_hot, salt).otherwise(F.col(key)))
-    out = joined.join(keys, F.col(_JOIN_KEY) == F.col(_STORED_KEY), "left_anti")
+    joined = batch.withColumns(
+        {
+            _JOIN_KEY: F.when(is_hot, salt).otherwise(F.col(key).cast("string")),
+            _HOT_FLAG: is_hot,
+        }
+    )
+    cond = (F.col(_JOIN_KEY) == F.col(_STORED_KEY).cast("string")) & ~F.col(_HOT_FLAG)
+    out = joined.join(keys, cond, "left_anti")
     keep = ~is_hot | F.col(key).isin(fresh_hot) if fresh_hot else ~is_hot
-    return out.filter(keep).drop(_JOIN_KEY)
+    return out.filter(keep).drop(_JOIN_KEY, _HOT_FLAG)
 
 
 def new_lake_rows(

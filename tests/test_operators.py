@@ -201,3 +201,17 @@ def test_hot_key_split_reads_the_batch_once(spark):
     # second branch over the batch
     assert plan.count("Scan ExistingRDD") == 2, plan
     assert out.count() == 49
+
+
+def test_hot_key_split_with_integer_keys_and_tilde_values(spark):
+    from strata.operators import anti_join_new
+
+    batch = spark.createDataFrame([(1, i) for i in range(5)] + [(2, 9), (3, 8)], "k bigint, v int")
+    stored = spark.createDataFrame([(1,), (3,)], "k bigint")
+    plain = sorted(tuple(r) for r in anti_join_new(batch, stored, "k").collect())
+    split = sorted(tuple(r) for r in anti_join_new(batch, stored, "k", hot=[1, 2]).collect())
+    assert plain == split == [(2, 9)]
+    sbatch = spark.createDataFrame([("~1", 1), ("~1", 2), ("x", 3)], "k string, v int")
+    sstored = spark.createDataFrame([("~7",), ("x",)], "k string")
+    got = sorted(tuple(r) for r in anti_join_new(sbatch, sstored, "k", hot=["~1"]).collect())
+    assert got == [("~1", 1), ("~1", 2)]
