@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.decontaminate import op1_decontamination
 from strata.llm.langid import op2_language_id
+from strata.llm.licenses import op6_license_scan
 from strata.llm.linededup import OP3_SQL, op3_line_dedup
 from strata.llm.minhash import op9_near_duplicates
 from strata.llm.packing import op10_packing
@@ -14,9 +16,11 @@ from strata.llm.pfor import op5_token_files
 from strata.llm.quality import op7_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op5_token_files": op5_token_files,
+    "op6_license_scan": op6_license_scan,
     "op7_quality": op7_quality,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
