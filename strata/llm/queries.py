@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.ann import op4_nearest
 from strata.llm.decontaminate import op1_decontamination
 from strata.llm.langid import op2_language_id
 from strata.llm.licenses import op6_license_scan
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
+    "op4_nearest": op4_nearest,
     "op5_token_files": op5_token_files,
     "op6_license_scan": op6_license_scan,
     "op7_quality": op7_quality,
