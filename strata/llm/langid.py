@@ -12,6 +12,7 @@ labelled but not learned from; with nothing to learn from every row is
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import held_out, id_type, ids_and_text, map_texts
+from strata.llm.common import held_out, ids_and_text, map_texts, ship, text_ranges
 from strata.llm.textcore import codes, letter_table, lower, mix
 
 #: First code point of the ranges of Unicode scripts, in order.
@@ -185,7 +186,7 @@ def label_languages(
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = {"doc_id": "doc_id"} if keep is None else keep
     rows = ids_and_text(docs, id_col, text_col)
-    if list(keep) != ["doc_id"]:
+    if keep != {"doc_id": "doc_id"}:
         rows = docs.select(*[F.col(c).alias(n) for c, n in keep.items()], F.col(text_col).cast("string").alias("text"))
 
     def run(batch: pa.RecordBatch, texts: list[str]) -> dict:
@@ -195,6 +196,23 @@ def label_languages(
     return map_texts(rows, run, f"{kinds}, lang_pred string, score double, spans {SPAN}")
 
 
+def drop_unidentified(docs: DataFrame, model: LanguageModel, min_score: float, text_col: str = "text") -> DataFrame:
+    """``docs``, same columns, without rows that are ``und`` or whose main
+    language holds less than ``min_score`` of the letters."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            for lo, hi in text_ranges(texts, 1_000_000):
+                got = _label(shared.value, texts[lo:hi], SWITCH_PENALTY)
+                keep = [x != "und" and s >= min_score for x, s in zip(got["lang_pred"], got["score"], strict=True)]
+                yield batch.slice(lo, hi - lo).filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.common import table
 

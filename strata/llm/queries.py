@@ -15,6 +15,7 @@ from strata.llm.minhash import op9_near_duplicates
 from strata.llm.packing import op10_packing
 from strata.llm.pfor import op5_token_files
 from strata.llm.quality import op7_quality
+from strata.llm.suffix import op8_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_license_scan": op6_license_scan,
     "op7_quality": op7_quality,
+    "op8_repeats": op8_repeats,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
 }
