@@ -3,8 +3,8 @@
 Text is cut at single spaces after a non-space. A byte-level pre-tokenizer
 never joins characters across such a place, so the ids of a text are the ids
 of its pieces in order, and each distinct piece is encoded once per worker
-(a bounded cache). Texts with a white-space character before a space, or with
-the string of an added token, go to the tokenizer whole.
+(a bounded cache). Texts with a white-space character before a space, a space
+at the end, or the string of an added token go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from array import array
 CACHE_PIECES = 600_000
 #: Pieces of more characters are not kept.
 CACHE_PIECE_CHARS = 64
-_ODD = re.compile(r"\s |^ ")
+_BEFORE_SPACE = re.compile(r"\s ")
+_ODD = re.compile(r"\s | \Z")
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -27,6 +28,20 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _marked(part: str) -> list[str]:
+    """A word and the mark after it, which are separate before any merge."""
+    return [part[:-1], part[-1]] if part[-1] in ".," and part[:-1].isalpha() else [part]
+
+
+def _parts(piece: str) -> list[str] | None:
+    """The piece cut at its one line break between two runs without white
+    space, which stands alone."""
+    ends = piece.split("\n")
+    if len(ends) == 2 and all(e and e.split() == [e] for e in ends):
+        return [*_marked(ends[0]), "\n", *_marked(ends[1])]
+    return None
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -34,47 +49,76 @@ class PieceEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  # pieces after a space
+        self.bare: dict[str, bytes] = {}  # pieces after no space
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of each piece as it stands after a space."""
-        missing = list(pieces.difference(self.cache))
-        extra: dict[str, bytes] = {}
-        if len(self.cache) + len(missing) > CACHE_PIECES:
-            self.cache = {}
-            missing = list(pieces)
+    def _encode_new(self, cache: dict[str, bytes], keys: set[str], lead: str) -> None:
+        missing = [k for k in keys if k not in cache]
         for lo in range(0, len(missing), 10_000):
             part = missing[lo : lo + 10_000]
-            encoded = self.tok.encode_batch_fast([" " + p for p in part], add_special_tokens=False)
-            for p, e in zip(part, encoded, strict=True):
-                (self.cache if len(p) <= CACHE_PIECE_CHARS else extra)[p] = array("I", e.ids).tobytes()
+            encoded = self.tok.encode_batch_fast([lead + p for p in part] if lead else part, add_special_tokens=False)
+            cache.update(zip(part, [array("I", e.ids).tobytes() for e in encoded], strict=True))
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Learn pieces as they stand after a space. They are cut further where
+        the pre-tokenizer always cuts, so a word is encoded once with any mark
+        or line break after it. Returns those not worth keeping, or that stand
+        for themselves only at the end of a text."""
+        marked, broken, once = [], [], []
+        words, bare = set(), {".", ",", "\n"}
+        for p in new:
+            if p[-1] in ".," and p[:-1].isalpha():
+                marked.append(p)
+                words.add(p[:-1])
+            elif "\n" in p and (parts := _parts(p)):
+                broken.append((p, parts))
+                words.add(parts[0])
+                bare.update(parts[1:])
+            elif len(p) > CACHE_PIECE_CHARS or p[-1].isspace():
+                once.append(p)
+            else:
+                words.add(p)
+        self._encode_new(self.cache, words, " ")
+        self._encode_new(self.bare, bare, "")
+        cache, of = self.cache, self.bare
+        for p in marked:
+            cache[p] = cache[p[:-1]] + of[p[-1]]
+        extra = {p: cache[c[0]] + b"".join([of[x] for x in c[1:]]) for p, c in broken}
+        self._encode_new(extra, set(once), " ")
         return extra
 
+    def _odd(self, parts: list[str]) -> bool:
+        """Whether a part is empty, ends in white space or holds an added token."""
+        joined = " ".join(parts) + " "
+        return "" in parts or bool(_BEFORE_SPACE.search(joined)) or any(a in joined for a in self.added)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes | None] = [None] * len(texts)
-        split: list[tuple[int, list[str]]] = []
-        pieces: set[str] = set()
-        for i, t in enumerate(texts):
-            if _ODD.search(t) or any(a in t for a in self.added):
-                out[i] = self.whole(t)
-            else:
-                cut = t.split(" ")
-                split.append((i, cut))
-                pieces.update(cut[1:])
-        extra = self._learn(pieces)
-        known = self.cache | extra if extra else self.cache
-        firsts = self.tok.encode_batch_fast([c[0] for _, c in split], add_special_tokens=False)
-        get = known.__getitem__
-        for (i, cut), first in zip(split, firsts, strict=True):
-            cut[0] = ""
-            rest = iter(cut)
-            next(rest)
-            out[i] = array("I", first.ids).tobytes() + b"".join(map(get, rest))
-        return out  # type: ignore[return-value]
+        if len(self.cache) + len(self.bare) > CACHE_PIECES:
+            self.cache, self.bare = {}, {}
+        cut = [t.split(" ") for t in texts]
+        pieces = set().union(*[c[1:] for c in cut])
+        new = [p for p in pieces if p not in self.cache]
+        firsts = {c[0] for c in cut}
+        whole: set[int] = set()
+        if self._odd(new) or self._odd([f for f in firsts if f]):
+            whole = {i for i, t in enumerate(texts) if _ODD.search(t) or any(a in t for a in self.added)}
+            new = list(set().union(*[c[1:] for i, c in enumerate(cut) if i not in whole]).difference(self.cache))
+        extra = self._learn(new)
+        self._encode_new(self.bare, firsts, "")
+        # Odd and rare pieces are known for this call only.
+        self.cache.update(extra)
+        get, bare = self.cache.__getitem__, self.bare
+        out = [
+            self.whole(t) if i in whole else bare[c[0]] + b"".join(map(get, c[1:]))
+            for i, (t, c) in enumerate(zip(texts, cut, strict=True))
+        ]
+        for p in extra:
+            del self.cache[p]
+        return out
 
 
 def encoder(path: str) -> PieceEncoder:
