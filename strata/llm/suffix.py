@@ -139,7 +139,9 @@ class SuffixIndex:
 
     def _sorted(self, rows: DataFrame) -> str:
         path = scratch_path(self.spark, "suffixes")
-        rows.repartition(partitions(self.spark), "gram").sortWithinPartitions("gram", "stretch").write.parquet(path)
+        # Ranges of the whole order: a frequent gram spreads over several.
+        order = ("gram", "stretch", "row")
+        rows.repartitionByRange(partitions(self.spark), *order).sortWithinPartitions(*order).write.parquet(path)
         release(self.spark)
         return path
 
@@ -151,7 +153,9 @@ class SuffixIndex:
         own = self._read(path).groupBy("gram").count()
         met = own.filter("count > 1").select("gram")
         for _, level in self.levels:
-            met = met.unionByName(own.select("gram").join(self._read(level).select("gram"), "gram"))
+            # Both sides hold a gram once: a frequent one weighs no more.
+            theirs = self._read(level).select("gram").distinct()
+            met = met.unionByName(own.select("gram").join(theirs, "gram"))
         found = scratch_path(self.spark, "met")
         met.distinct().write.parquet(found)
         self.met.append(found)
