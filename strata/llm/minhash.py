@@ -12,8 +12,8 @@ Texts with the same words form a class and are never paired with each other:
 only one member per class is signed into bands. In a bucket every class meets
 its smallest class first (as many pairs as members). Buckets that still hold
 several groups of linked classes after that are compared fully, block against
-block inside tasks; only pairs of different groups whose signatures agree come
-out. No bucket is capped.
+block inside tasks; only links between different groups come out. No bucket is
+capped.
 
 Defined results: a text of one to four words has one shingle, all its words;
 a text without words (null, empty, signs only) is like no other; rows that
@@ -138,9 +138,10 @@ def band_rows(classes: DataFrame) -> DataFrame:
             for i in range(ROWS):
                 with np.errstate(over="ignore"):
                     key = mix(key + sig[:, :, i] + np.uint64(0x9E3779B97F4A7C15))
-            yield {"bucket": key.reshape(-1).view(np.int64), "c1": np.repeat(batch.column("c1").to_numpy(), BANDS)}
+            band = np.tile(np.arange(BANDS, dtype=np.int8), len(sig))
+            yield {"bucket": key.reshape(-1).view(np.int64), "band": band, "c1": np.repeat(batch.column("c1").to_numpy(), BANDS)}
 
-    return map_arrow(classes.select("c1", "signature"), run, "bucket long, c1 long")
+    return map_arrow(classes.select("c1", "signature"), run, "bucket long, band byte, c1 long")
 
 
 def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -158,14 +159,12 @@ def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_arrow(rows, run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of classes whose exact similarity reaches the threshold.
-    ``docs`` has ``doc_id`` and ``text``; a class is looked up by the id and
-    the text hash of its first member."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct()
+def shingle_sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The weighted shingles of the ``wanted`` classes (``c1``): sorted hashes
+    ``h`` and weights ``w`` (empty: all one). ``docs`` has ``doc_id`` and
+    ``text``; a class is looked up by its first member's id and text hash."""
     first = classes.select("c1", F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")).join(wanted, "c1")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    texts = docs.join(first, same).select("c1", "text")
 
     def sets(rows: pa.RecordBatch, texts: list[str]) -> dict:
         doc, h, weight = weighted_shingles(words(texts), len(texts))
@@ -173,19 +172,25 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity:
         plain = [b"" if (x == 1).all() else x.astype("<u4").tobytes() for x in np.split(weight, cut)]
         return {"c1": rows.column("c1"), "h": [x.astype("<u8").tobytes() for x in np.split(h, cut)], "w": plain}
 
-    found = map_texts(texts, sets, "c1 long, h binary, w binary").dropDuplicates(["c1"])
-    found = stage(found, "shingles")
+    return map_texts(docs.join(first, same).select("c1", "text"), sets, "c1 long, h binary, w binary").dropDuplicates(["c1"])
+
+
+def _set(h: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.frombuffer(h, "<u8")
+    return hashes, np.frombuffer(w, "<u4") if w else np.ones(len(hashes), np.uint32)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of classes whose exact similarity reaches the threshold."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct()
+    found = stage(shingle_sets(wanted, docs, classes), "shingles")
     rows = pairs.join(found.toDF("a", "ah", "aw"), "a").join(found.toDF("b", "bh", "bw"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        def side(h: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
-            hashes = np.frombuffer(h, "<u8")
-            return hashes, np.frombuffer(w, "<u4") if w else np.ones(len(hashes), np.uint32)
-
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("ah", "aw", "bh", "bw")]
             keep = pa.array(
-                [probability_jaccard(*side(ah, aw), *side(bh, bw)) >= similarity for ah, aw, bh, bw in zip(*columns, strict=True)],
+                [probability_jaccard(*_set(ah, aw), *_set(bh, bw)) >= similarity for ah, aw, bh, bw in zip(*columns, strict=True)],
                 pa.bool_(),
             )
             yield {c: batch.column(c).filter(keep) for c in ("a", "b")}
@@ -193,48 +198,63 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity:
     return map_arrow(rows, run, "a long, b long")
 
 
-def within_buckets(bands: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Agreeing pairs of different groups in buckets that hold several.
+def within_buckets(bands: DataFrame, docs: DataFrame, classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Links between different groups in buckets that hold several, found by
+    comparing each class of the bucket with each other.
 
-    A bucket of n classes is cut into blocks by hash; a task compares one
-    block with one block, so no bucket is a single task's."""
-    rooted = bands.join(roots, "c1", "left").select("bucket", "c1", F.coalesce("root", "c1").alias("root"))
+    A bucket of n classes is cut into blocks by hash; a task compares one block
+    with one block, so no bucket is a single task's. Signatures sort out most
+    pairs, the rest are verified on the spot, in the first band that the two
+    share only, and pairs that links of the same block already join are left
+    out: what comes out is links, fewer than rows went in."""
+    rooted = bands.join(roots, "c1", "left").select("bucket", "band", "c1", F.coalesce("root", "c1").alias("root"))
     open_ = rooted.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     open_ = open_.filter("lo <> hi and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = rooted.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("c1"), F.col("blocks")).cast("int"))
-    rows = rows.join(classes.select("c1", "signature"), "c1")
+    rows = stage(rooted.join(open_, "bucket"), "open-buckets")
+    sets = stage(shingle_sets(rows.select("c1").distinct(), docs, classes), "open-shingles")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("c1"), F.col("blocks")).cast("int"))
+    rows = rows.join(sets, "c1").join(classes.select("c1", "signature"), "c1")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
         F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("meet"),
         F.when(F.col("block") == F.col("other"), F.lit(2)).when(F.col("block") < F.col("other"), F.lit(0)).otherwise(F.lit(1)).alias("side"),
+        "band",
         "c1",
         "root",
         "signature",
+        "h",
+        "w",
     )
     met = rows.repartition(partitions(rows.sparkSession), "meet").sortWithinPartitions("meet")
 
-    def groups(t: pa.Table) -> Iterator[slice]:
-        meet = t.column("meet").to_numpy()
-        cut = np.flatnonzero(np.r_[True, meet[1:] != meet[:-1]]).tolist()
-        yield from (slice(a, b) for a, b in zip(cut, [*cut[1:], len(meet)], strict=True))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for t in runs(batches, "meet"):
-            sig, c1, root, side = _matrix(t.column("signature")), *(t.column(c).to_numpy() for c in ("c1", "root", "side"))
-            a_out, b_out = [], []
-            for g in groups(t):
-                s, c, r, k = sig[g], c1[g], root[g], side[g]
-                for i in range(len(c)):
-                    may = (r != r[i]) & (c > c[i]) & ((k == 2) | (k != k[i]))
-                    j = np.flatnonzero(may)
-                    if len(j):
-                        j = j[(s[j] == s[i]).mean(axis=1) >= AGREE]
-                        a_out.append(np.full(len(j), c[i]))
-                        b_out.append(c[j])
-            if a_out:
-                yield {"a": np.concatenate(a_out), "b": np.concatenate(b_out)}
-
-    return map_arrow(met, run, "a long, b long").distinct()
+            sig = _matrix(t.column("signature")).reshape(-1, BANDS, ROWS)
+            meet, band, c1, root, side = (t.column(c).to_numpy() for c in ("meet", "band", "c1", "root", "side"))
+            h, w = t.column("h"), t.column("w")
+            cut = np.flatnonzero(np.r_[True, meet[1:] != meet[:-1]]).tolist()
+            out: list[tuple[int, int]] = []
+            for lo, hi in zip(cut, [*cut[1:], len(meet)], strict=True):
+                group = root[lo:hi].copy()  # links found here merge groups
+                held: dict[int, tuple] = {}
+                for i in range(lo, hi):
+                    may = (group != group[i - lo]) & (c1[lo:hi] > c1[i]) & ((side[lo:hi] == 2) | (side[lo:hi] != side[i]))
+                    j = lo + np.flatnonzero(may)
+                    if not len(j):
+                        continue
+                    same = sig[j] == sig[i]
+                    first = same.all(axis=2).argmax(axis=1) == band[i]
+                    for k in j[first & (same.mean(axis=(1, 2)) >= AGREE)].tolist():
+                        if group[k - lo] == group[i - lo]:
+                            continue
+                        a, b = (held[x] if x in held else held.setdefault(x, _set(h[x].as_py(), w[x].as_py())) for x in (i, k))
+                        if probability_jaccard(*a, *b) >= similarity:
+                            out.append((int(c1[i]), int(c1[k])))
+                            group[group == group[k - lo]] = group[i - lo]
+            if out:
+                yield {"a": [a for a, _ in out], "b": [b for _, b in out]}
+
+    return map_arrow(met, run, "a long, b long")
 
 
 def near_duplicates(
@@ -254,18 +274,15 @@ def near_duplicates(
     bands = band_rows(classes)
     heads = bands.groupBy("bucket").agg(F.min("c1").alias("a"), F.max("c1").alias("top")).filter("a <> top").select("bucket", "a")
     heads = stage(heads, "bucket-heads")
-    pairs = bands.join(heads, "bucket").filter("a <> c1").select("a", F.col("c1").alias("b")).distinct()
+    pairs = bands.drop("band").join(heads, "bucket").filter("a <> c1").select("a", F.col("c1").alias("b")).distinct()
     pairs = stage(agreeing(pairs, classes), "pairs")
     links = stage(verified(pairs, plain, classes, similarity), "verified")
     roots = components(links).toDF("c1", "root")
 
     shared = band_rows(classes).join(heads.select("bucket"), "bucket")
-    more = within_buckets(shared, classes, roots).join(pairs, ["a", "b"], "left_anti")
-    more = stage(more, "more-pairs")
+    more = stage(within_buckets(shared, plain, classes, roots, similarity), "more-links")
     if not more.isEmpty():
-        more = stage(verified(more, plain, classes, similarity), "more-verified")
-        if not more.isEmpty():
-            roots = components(links.unionByName(more)).toDF("c1", "root")
+        roots = components(links.unionByName(more)).toDF("c1", "root")
 
     member = rows.drop("signature").join(roots, "c1", "left")
     member = member.withColumn("root", F.coalesce("root", "c1"))
