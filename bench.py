@@ -83,8 +83,8 @@ def ingest_once(spark, scratch_root: str, b1: str, b2: str) -> dict[str, float]:
         sandbox_db="bench_sandbox",
         metadata_db="bench_meta",
     )
-    spark.sql("DROP DATABASE IF EXISTS bench_core CASCADE")
-    spark.sql("DROP DATABASE IF EXISTS staging_bench_core CASCADE")
+    spark.sql("DROP DATABASE IF EXISTS dw__bench_core CASCADE")
+    spark.sql("DROP DATABASE IF EXISTS staging_dw__bench_core CASCADE")
     out = {}
     t = time.perf_counter()
     load_conformed(spark, cfg, target(b1, "lineitem_feed__b1.csv"), LINEITEM, LOAD_TS)

@@ -34,9 +34,9 @@ class LakeConfig:
     business_table: str = "business_metadata"
     technical_table: str = "technical_metadata"
     fmt: str = "parquet"
-    # "partitions": back up only the partitions an append touches;
-    # "table": copy the whole conformed table before each append.
-    backup_scope: str = "partitions"
+    # "table": copy the whole conformed table before each append;
+    # "partitions": copy only the partitions that the append writes to.
+    backup_scope: str = "table"
     # Count whole stored layers before and after each load (F1 "existing" and
     # "after"). Off by default: it lists and reads every file footer of the
     # layer; the new-row count is always exact without it.

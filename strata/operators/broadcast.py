@@ -1,11 +1,10 @@
 """Broadcast joins with a checked size bound.
 
-The small side is counted first. Up to ``limit`` rows it is broadcast whole;
-above that it is split into hash chunks, each verified to hold at most
-``limit`` rows, and the large side is joined with each chunk in turn (the
-chunk results are unioned). Every broadcast therefore has a proven size, the
-large side is never shuffled (its row order within tasks is kept), and no
-row of either side is dropped.
+The small side is counted first. Up to ``limit`` rows it is broadcast whole.
+Above that a join on columns is shuffled like any other. A join on a condition
+splits the distinct small rows into hash chunks, each verified to hold at most
+``limit`` rows, and joins the large side with each in turn. Every broadcast
+therefore has a proven size.
 """
 
 from __future__ import annotations
@@ -21,7 +20,11 @@ _CHUNK = "__chunk"
 
 
 def checked_chunks(small: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list[DataFrame]:
-    """``small`` as one piece, or as hash chunks of at most ``limit`` rows."""
+    """``small`` as one piece, or its distinct rows as hash chunks of at most
+    ``limit`` rows (equal rows would stay together in every chunking)."""
+    if small.count() <= limit:
+        return [small]
+    small = small.distinct()
     n = small.count()
     if n <= limit:
         return [small]
@@ -43,9 +46,13 @@ def broadcast_join(
 ) -> DataFrame:
     """``large.join(broadcast(small), on, how)`` with the size bound enforced.
 
-    Inner joins only: each output row pairs with one ``small`` row, which
-    lies in exactly one chunk, so the union of the chunk joins is exact.
+    Beyond the bound an equi-join is an ordinary shuffled join. A condition is
+    joined chunk by chunk of the distinct ``small`` rows (inner only): each
+    output row pairs with one of them, which lies in exactly one chunk.
     """
+    if isinstance(on, (str, list)) and small.count() > limit:
+        # An equi-join needs no broadcast: shuffled once, skew split by AQE.
+        return large.join(small, on, how)
     if how != "inner":
         raise ValueError(f"chunked broadcast join is exact only for inner joins, not {how!r}")
     pieces = [large.join(F.broadcast(p), on, how) for p in checked_chunks(small, limit)]

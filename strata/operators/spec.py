@@ -87,6 +87,14 @@ class DatasetSpec:
         return cols + list(zip(AUDIT_COLS, ("varchar(300)", "date", "date")))
 
 
+def spelled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the column that equals ``name`` but for case called ``name``.
+
+    The partition column names folders and catalog partitions, so every layer
+    spells it as the metadata does, whatever the file's header says."""
+    return df.withColumnsRenamed({c: name for c in df.columns if c.lower() == name.lower() and c != name})
+
+
 def dataset_rows(tech: DataFrame, dataset: str) -> DataFrame:
     """``tech where filename = dataset``."""
     return tech.filter(F.col("filename") == F.lit(dataset))

@@ -32,9 +32,9 @@ from ..operators.increment import (
     prune_to_batch,
     prune_to_values,
 )
-from ..operators.spec import DatasetSpec
+from ..operators.spec import DatasetSpec, spelled
 from ..sources.files import read_csv
-from ..sources.layers import LayerTable, open_layer, save_to_layer, snapshot_layer
+from ..sources.layers import LayerTable, heal_partitions, open_layer, save_to_layer, snapshot_layer
 from .target import LoadResult, Target
 
 
@@ -53,7 +53,7 @@ def conformed_batch(raw: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFram
     a hash input, in which case the hash must see the raw text and is taken
     first. The audit columns are constants and come last.
     """
-    df = clean_columns(raw)
+    df = spelled(clean_columns(raw), spec.partition_key)
     keys = [_resolve(df, k) for k in spec.hash_keys]
     part = _resolve(df, spec.partition_key)
     if part in keys:
@@ -112,14 +112,15 @@ def load_conformed(
     result = LoadResult("conformed", lt.path)
     raw = read_csv(spark, target.path)
     part = spec.partition_key
-    stored = open_layer(spark, lt)
-
     days, raw_rows = batch_days(raw, spec) if raw.columns else ([], 0)
     if raw_rows == 0:  # D6: nothing to load, nothing written
         result.notes.append("empty file")
         result.partitions = []
+        result.incoming = result.new = 0
         return result
     result.partitions = days
+    heal_partitions(spark, lt, days)
+    stored = open_layer(spark, lt)
     batch = conformed_batch(raw, spec, load_ts)
     seen = Observation("incoming")
     batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -127,7 +128,7 @@ def load_conformed(
     if stored is None:
         # A5: the first load creates the table.
         save_to_layer(spark, lt, batch, days, mode="errorifexists")
-        result.created = True
+        result.created, result.existing = True, 0
         result.incoming = result.new = result.after = int(seen.get["rows"])
         return result
 
@@ -148,15 +149,15 @@ def load_conformed(
             result.new, touched = new.count(), None
         result.incoming = int(seen.get["rows"])
         if result.new > 0:
-            backup = join_path(cfg.backup, target.subpath)
             if cfg.backup_scope == "table":
                 before = stored
             elif touched is not None:
                 before = prune_to_values(stored, part, touched)
             else:  # too many days to list: semi-join on the new rows' days
                 before = prune_to_batch(stored, new, part)
-            snapshot_layer(before, backup, part, None, cfg.fmt)  # A7
-            result.backup = backup
+            result.backup = snapshot_layer(  # A7
+                before, join_path(cfg.backup, target.subpath), part, cfg.fmt, keep_if_empty=cfg.backup_scope != "table"
+            )
             save_to_layer(spark, lt, new, touched, mode="append")  # A6
     finally:
         new.unpersist()

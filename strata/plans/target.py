@@ -46,9 +46,17 @@ class Target:
     def catalog_table(self) -> str:
         return f"{self.sql_schema}_{self.sql_table}"
 
+    @property
+    def warehouse_db(self) -> str:
+        """One catalog database per warehouse database and schema."""
+        for name in (self.sql_database, self.sql_schema):
+            if "__" in name or name.startswith("_") or name.endswith("_"):
+                raise ValueError(f"warehouse name {name!r}: an outer or double underscore would be ambiguous")
+        return f"{self.sql_database}__{self.sql_schema}"
+
     @property
     def staging_schema(self) -> str:
-        return f"staging_{self.sql_schema}"
+        return f"staging_{self.warehouse_db}"
 
     def runs(self, flag: str) -> bool:
         """Business flags must be exactly ``Y``."""
@@ -59,10 +67,11 @@ class Target:
 class LoadResult:
     layer: str
     target: str
-    existing: int = 0
-    incoming: int = 0
-    new: int = 0
-    after: int = 0
+    # None: not counted in this load.
+    existing: int | None = None
+    incoming: int | None = None
+    new: int | None = None
+    after: int | None = None
     created: bool = False
     partitions: list | None = None
     backup: str | None = None

@@ -31,7 +31,7 @@ from ..operators.increment import (
 )
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
-from ..sources.layers import LayerTable, open_layer, save_to_layer, try_read_layer
+from ..sources.layers import LayerTable, heal_partitions, open_layer, save_to_layer, try_read_layer
 from .conformed import conformed_table
 from .target import LoadResult, Target
 
@@ -41,6 +41,13 @@ def typed_batch(conformed: DataFrame, spec: DatasetSpec) -> DataFrame:
     return typed_projection(conformed, spec, "lake").distinct()
 
 
+def typed_after_load(stored: DataFrame | None, conformed: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """All rows of a typed layer after one load (pure): what is stored, and
+    the typed conformed rows whose hash it does not hold."""
+    batch = typed_batch(conformed, spec)
+    return batch if stored is None else stored.unionByName(anti_join_new(batch, stored, HASH_COL), allowMissingColumns=True)
+
+
 def typed_table(cfg: LakeConfig, layer: str, target: Target, spec: DatasetSpec) -> LayerTable:
     part = spec.partition_key
     ptype = next(c for c in spec.columns if c.name == part).lake()
@@ -94,9 +101,13 @@ def load_typed_layer(
     if conformed is None:
         result.notes.append("no conformed layer")
         return result
-    if partitions is not None:
+    if partitions is not None and open_layer(spark, dst) is not None:
+        # Only a layer that exists has had the other days: one that is
+        # switched on late takes the whole conformed layer.
         if not partitions:
             result.notes.append("no partitions to load")
+            result.partitions = []
+            result.incoming = result.new = 0
             return result
         conformed = prune_to_values(conformed, part, partitions)
     batch = typed_batch(conformed, spec)
@@ -108,12 +119,14 @@ def load_typed_layer(
     if conformed_rows == 0:
         result.notes.append("no conformed rows to load")
         result.partitions = []
+        result.incoming = result.new = 0
         return result
     if conformed_days is not None:
         days = typed_partition_texts(spark, conformed_days, dst.partition_type)
     else:
         days = partition_values(batch, part)
     result.partitions = days
+    heal_partitions(spark, dst, days)
     stored = open_layer(spark, dst)
 
     if stored is None:
@@ -121,10 +134,11 @@ def load_typed_layer(
         save_to_layer(
             spark, dst, batch.observe(seen, F.count(F.lit(1)).alias("rows")), days, mode="errorifexists"
         )
-        result.created = True
+        result.created, result.existing = True, 0
         result.incoming = result.new = result.after = int(seen.get["rows"])
         return result
 
+    result.incoming = conformed_rows  # None above the listing limit
     if cfg.full_counts:
         result.existing = stored.count()
     # No key can pass the threshold unless the whole batch does.

@@ -29,7 +29,7 @@ def load_warehouse(
     spec: DatasetSpec,
     partitions: list | None = None,
 ) -> LoadResult:
-    schema, table = target.sql_schema, target.sql_table
+    schema, table = target.warehouse_db, target.sql_table
     staging = target.staging_schema
     result = LoadResult("warehouse", f"{schema}.{table}")
 
@@ -37,9 +37,17 @@ def load_warehouse(
     if src is None:
         result.notes.append("no enriched layer")
         return result
-    if partitions is not None:
+    # Only a table that holds rows has had the other days: a new one, or one
+    # whose first insert did not get through, takes the whole enriched layer.
+    loaded = table_exists(spark, schema, table) and not read_warehouse(spark, schema, table).isEmpty()
+    if partitions is not None and loaded:
+        if not partitions:
+            result.notes.append("no partitions to load")
+            result.incoming = result.new = 0
+            return result
         src = prune_to_values(src, spec.partition_key, partitions)
     typed = typed_projection(src, spec, "sql")
+    result.incoming = src.count()  # reads file footers only
 
     ensure_database(spark, schema)  # B3
     ensure_database(spark, staging)
@@ -48,18 +56,17 @@ def load_warehouse(
         if cfg.full_counts:
             result.existing = stored.count()
         hot = None
-        # No key can pass the threshold unless the whole batch does (the
-        # count reads file footers only).
-        if cfg.hot_key_rows is not None and src.count() > cfg.hot_key_rows:
+        # No key can pass the threshold unless the whole batch does.
+        if cfg.hot_key_rows is not None and result.incoming > cfg.hot_key_rows:
             hot = hot_keys(src.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
         new = new_warehouse_rows(typed, stored, hot=hot)  # E2
     else:
         create_table(spark, schema, table, spec.warehouse_ddl_columns())  # B5, C10
-        result.created = True
+        result.created, result.existing = True, 0
         new = typed
     write_staging(new, staging, table)  # A13
     result.new = insert_from_staging(spark, staging, schema, table, spec.cluster_keys)  # A14
-    if cfg.full_counts:
+    if result.existing is not None:
         result.after = result.existing + result.new
     if target.sql_view:
         ensure_view(spark, schema, target.sql_view, table)  # B7

@@ -29,7 +29,7 @@ from .operators.project import typed_projection
 from .operators.routing import BUSINESS_COLUMNS, route
 from .operators.spec import specs_from_rows
 from .plans.conformed import conformed_batch
-from .plans.typed import typed_batch
+from .plans.typed import typed_after_load, typed_batch
 
 # The load time used by every checked query.
 LOAD_TS = _dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -131,9 +131,8 @@ def partition_days_events(spark, sf_dir):
 
 
 def distinct_conversation_turns(spark, sf_dir):
-    """I1 on a two-column incoming file."""
-    conv = _table(spark, sf_dir, "conversations").select("role", "text")
-    return clean_columns(conv).distinct()
+    """Whole rows of an incoming file."""
+    return clean_columns(_table(spark, sf_dir, "conversations")).distinct()
 
 
 # -------------------------------------------------------- incremental loads
@@ -209,6 +208,28 @@ def new_orders_warehouse(spark, sf_dir):
     return anti_join_new(typed, stored)
 
 
+def late_enabled_layer(spark, sf_dir):
+    """K6 on a target that does not exist yet: after two conformed loads, an
+    enriched layer switched on late holds the rows of both."""
+    stored, batch = _orders_split(spark, sf_dir)
+    conformed = stored.unionByName(new_lake_rows(batch, stored, "o_orderdate"))
+    return typed_after_load(None, conformed, ORDERS)
+
+
+def enriched_after_two_loads(spark, sf_dir):
+    """A6 + K6: the enriched layer after a load of each conformed state."""
+    stored, batch = _orders_split(spark, sf_dir)
+    first = typed_after_load(None, stored, ORDERS)
+    return typed_after_load(first, stored.unionByName(new_lake_rows(batch, stored, "o_orderdate")), ORDERS)
+
+
+def renamed_columns_batch(spark, sf_dir):
+    """A batch with raw headers, cleaned on the way in."""
+    cust = _table(spark, sf_dir, "customer")
+    raw = cust.select(*[F.col(c).alias(f"{c.upper()} [usd]") for c in cust.columns])
+    return clean_columns(raw)
+
+
 # ------------------------------------------------------------- projections
 
 
@@ -224,8 +245,7 @@ def typed_customer_failing_casts(spark, sf_dir):
 
 def warehouse_customer(spark, sf_dir):
     """C8 + A14 + I2: warehouse types with varchar truncation, then DISTINCT."""
-    cust = _table(spark, sf_dir, "customer").select("c_name", "c_acctbal", "c_mktsegment")
-    return typed_projection(cust, CUSTOMER_WAREHOUSE, "sql").distinct()
+    return typed_projection(_table(spark, sf_dir, "customer"), CUSTOMER_WAREHOUSE, "sql").distinct()
 
 
 def clean_page_urls(spark, sf_dir):
@@ -266,6 +286,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_counts_orders": load_counts_orders,
     "typed_new_orders": typed_new_orders,
     "new_orders_warehouse": new_orders_warehouse,
+    "late_enabled_layer": late_enabled_layer,
+    "enriched_after_two_loads": enriched_after_two_loads,
+    "renamed_columns_batch": renamed_columns_batch,
     "typed_lineitem": typed_lineitem,
     "typed_customer_failing_casts": typed_customer_failing_casts,
     "warehouse_customer": warehouse_customer,
@@ -358,7 +381,7 @@ ORACLE_SQL: dict[str, str] = {
     "conformed_lineitem": _CONF_LINEITEM,
     "conformed_events": _CONF_EVENTS,
     "partition_days_events": "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS ts FROM events",
-    "distinct_conversation_turns": "SELECT DISTINCT role, text FROM conversations",
+    "distinct_conversation_turns": "SELECT DISTINCT * FROM conversations",
     "new_orders": _ORDERS_SPLIT + _NEW_ROWS.format(p="o_orderdate"),
     "pruned_stored_orders": _ORDERS_SPLIT
     + """
@@ -403,7 +426,7 @@ SELECT CAST(c_custkey AS BIGINT) AS c_custkey, TRY_CAST(c_name AS INTEGER) AS c_
 FROM customer""",
     "warehouse_customer": """
 SELECT DISTINCT left(c_name, 12) AS c_name, TRY_CAST(c_acctbal AS DECIMAL(10,1)) AS c_acctbal,
-       left(c_mktsegment, 10) AS c_mktsegment
+       left(c_mktsegment, 10) AS c_mktsegment, c_custkey, c_nationkey
 FROM customer""",
     "clean_page_urls": f"SELECT page_id, {_CLEAN_URL} AS url_clean FROM pages",
     "routed_pages": f"""
@@ -427,3 +450,17 @@ stored AS (SELECT * FROM conf WHERE l_shipdate < '1999-01-01'),
 batch AS (SELECT * FROM conf WHERE l_shipdate >= '1998-01-01')"""
     + _NEW_ROWS.format(p="l_shipdate")
 )
+
+# Stored orders and the new ones are all orders once, typed.
+ORACLE_SQL["late_enabled_layer"] = ORACLE_SQL["enriched_after_two_loads"] = (
+    _ORDERS_SPLIT
+    + f""",
+newrows AS ({_NEW_ROWS.format(p="o_orderdate")}),
+conformed AS (SELECT * FROM stored UNION ALL SELECT * FROM newrows)
+SELECT DISTINCT * FROM ({_TYPED_ORDERS.format(src="conformed")})"""
+)
+
+ORACLE_SQL["renamed_columns_batch"] = """
+SELECT c_custkey AS c_custkey_, c_name AS c_name_, c_nationkey AS c_nationkey_,
+       c_acctbal AS c_acctbal_, c_mktsegment AS c_mktsegment_
+FROM customer"""

@@ -5,8 +5,8 @@ the cluster), joined on the file path with the routed files whose dataset
 keeps a raw copy, and written under ``root/database/yyyy/mm/dd/file_name``
 partitions with dynamic partition overwrite: archiving the same file again
 on the same day replaces its earlier copy instead of doubling it. No file
-list passes through the driver, and lines keep their order within each part
-(a large file is archived as several ordered parts).
+list passes through the driver. Lines keep the order in which a task reads
+them as long as the writer's sort on the partition columns does not spill.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.broadcast import broadcast_join
 from .files import top_entry
+from .layers import _text_partitions
 
 # Archive partition columns, outermost first.
 ARCHIVE_PARTITIONS = ("root", "database", "yyyy", "mm", "dd", "file_name")
@@ -44,7 +45,9 @@ def archive_frame(
         F.col("deltaLake_root").alias("root"),
         F.col("delta_database_name").alias("database"),
     ).distinct()
-    src = F.col("_metadata.file_path")
+    # The metadata column is URI-encoded, the listing is not; a plus sign is
+    # itself in both.
+    src = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(source)
@@ -74,9 +77,32 @@ def archive_files(
 ) -> None:
     """Archive the routed entries read from ``source``."""
     day = day or _dt.date.today()
+    _write(archive_frame(spark, routes, source, day, folder), archive_path)
+    lost = missing_files(spark, routes, archive_path, day)
+    if lost:
+        raise RuntimeError(f"routed files without archived lines: {lost}")
+
+
+def missing_files(spark: SparkSession, routes: DataFrame, archive_path: str, day: _dt.date, show: int = 20) -> list[str]:
+    """Some of the routed, non-empty files that the day's archive lacks (by
+    listing the archive; no line is read). Routes without a ``length`` are not
+    checked: nothing tells whether such a file has lines."""
+    if "length" not in routes.columns:
+        return []
+    with _text_partitions(spark):
+        kept = spark.read.format("binaryFile").load(archive_path)
+    of_day = (F.col("yyyy") == f"{day.year:04d}") & (F.col("mm") == f"{day.month:02d}") & (F.col("dd") == f"{day.day:02d}")
+    kept = kept.filter(of_day & (F.col("length") > 0)).select("root", "database", "file_name").distinct()
+    wanted = routes.filter("length > 0").select(
+        F.col("deltaLake_root").alias("root"), F.col("delta_database_name").alias("database"), F.col("name").alias("file_name")
+    )
+    lost = wanted.distinct().join(kept, ["root", "database", "file_name"], "left_anti").limit(show).collect()
+    return [r["file_name"] for r in lost]
+
+
+def _write(frame: DataFrame, archive_path: str) -> None:
     (
-        archive_frame(spark, routes, source, day, folder)
-        .write.mode("overwrite")
+        frame.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*ARCHIVE_PARTITIONS)
         .text(archive_path)

@@ -68,8 +68,8 @@ def register_layer_table(
     cols = ""
     parts = ""
     if schema is not None:
-        fields = [f for f in schema.fields if f.name != partition_col]
-        fields += [f for f in schema.fields if f.name == partition_col]
+        part = (partition_col or "").lower()
+        fields = sorted(schema.fields, key=lambda f: f.name.lower() == part)
         cols = " (" + ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in fields) + ")"
     if partition_col is not None:
         parts = f" PARTITIONED BY ({quote(partition_col)})"
@@ -87,7 +87,8 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def known_partitions(spark: SparkSession, db: str, table: str) -> set[str]:
-    """Partition values the catalog holds (metadata only, no folder listing)."""
+    """Partition values the catalog holds: the whole list, for inspection and
+    tests only. No load calls it."""
     from urllib.parse import unquote
 
     rows = spark.sql(f"SHOW PARTITIONS {qualified(db, table)}").collect()
@@ -97,13 +98,11 @@ def known_partitions(spark: SparkSession, db: str, table: str) -> set[str]:
 def add_partitions(spark: SparkSession, db: str, table: str, col: str, values: list, chunk: int = 500) -> None:
     """Tell the catalog about partitions just written (no folder listing).
 
-    Only values the catalog does not hold yet are sent.
+    Values the catalog holds already are left alone by it; its whole partition
+    list never comes to the driver.
     """
     name = qualified(db, table)
-    vals = {NULL_PARTITION if v is None else str(v) for v in values}
-    if table_exists(spark, db, table):
-        vals -= known_partitions(spark, db, table)
-    vals = sorted(vals)
+    vals = sorted({NULL_PARTITION if v is None else str(v) for v in values})
     for i in range(0, len(vals), chunk):
         specs = " ".join(f"PARTITION ({quote(col)} = {_sql_string(v)})" for v in vals[i : i + chunk])
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")

@@ -57,7 +57,8 @@ def top_entry(path: Column, folder: str) -> Column:
     A file in the folder is its own entry; a file deeper down (a part file of
     a directory-style feed) maps to the directory directly under the folder.
     """
-    pattern = r"^(.*?\Q" + _path_part(folder) + r"\E/[^/]+)"
+    store = r"(?:[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?)?"
+    pattern = r"^(" + store + r"\Q" + _path_part(folder) + r"\E/[^/]+)"
     entry = F.regexp_extract(path, pattern, 1)
     return F.when(entry == F.lit(""), path).otherwise(entry)
 

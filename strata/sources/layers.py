@@ -9,6 +9,7 @@ string and must not come back as a date.
 from __future__ import annotations
 
 import contextlib
+import datetime as _dt
 import threading
 from dataclasses import dataclass
 
@@ -105,27 +106,27 @@ def snapshot_layer(
     stored: DataFrame,
     backup_path: str,
     partition_col: str,
-    values: list | None = None,
     fmt: str = DEFAULT_FORMAT,
-) -> None:
-    """Copy the layer (or just the partitions in ``values``) to ``backup_path``.
+    keep_if_empty: bool = False,
+) -> str | None:
+    """Copy the layer's rows to a new folder under ``backup_path``.
 
-    The copy replaces the previous one at the same path, so exactly one
-    backup per table is kept. Copying only the partitions an append is about
-    to touch is enough to undo that append, and costs a fraction of a whole
-    table copy.
+    The folder is named by the time; older copies are deleted once the new one
+    is complete, so a failed copy leaves the last good one. With
+    ``keep_if_empty`` a copy of no rows is not made. Returns the new folder.
     """
-    from ..operators.increment import prune_to_values
-
-    if values is not None:
-        stored = prune_to_values(stored, partition_col, values)
-    (
-        stored.hint("rebalance", partition_col)
-        .write.format(fmt)
-        .mode("overwrite")
-        .partitionBy(partition_col)
-        .save(backup_path)
-    )
+    if keep_if_empty and stored.isEmpty():
+        return None
+    spark = stored.sparkSession
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(backup_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    older = [s.getPath() for s in fs.listStatus(root)] if fs.exists(root) else []
+    path = f"{backup_path}/{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}"
+    stored.hint("rebalance", partition_col).write.format(fmt).partitionBy(partition_col).save(path)
+    for p in older:
+        fs.delete(p, True)
+    return path
 
 
 @dataclass(frozen=True)
@@ -160,6 +161,23 @@ def _with_partition_type(
     return StructType([StructField(f.name, target, True) if f.name == col else f for f in schema.fields])
 
 
+def heal_partitions(spark: SparkSession, lt: LayerTable, values: list | None) -> None:
+    """Make the catalog know the partitions a load is about to compare with.
+
+    A load that died between writing files and recording their partitions
+    leaves rows the catalog does not show. Recording the batch's days first
+    (those it holds already are skipped by the catalog) lets the anti-join see
+    them. ``None``: too many days to name, so all folders are rediscovered.
+    """
+    if lt.fmt in LOGGED_FORMATS or not same_location(table_location(spark, lt.db, lt.table), lt.path):
+        return
+    if values is None:
+        spark.sql(f"MSCK REPAIR TABLE {lt.name}")
+    else:
+        add_partitions(spark, lt.db, lt.table, lt.partition_col, values)
+    spark.catalog.refreshTable(f"{lt.db}.{lt.table}")
+
+
 def open_layer(spark: SparkSession, lt: LayerTable) -> DataFrame | None:
     """A4 + A15: the layer as a catalog table, or None when nothing is stored.
 

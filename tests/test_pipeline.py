@@ -64,7 +64,7 @@ def lake(request, spark, scratch):
     assert load_technical_metadata(spark, cfg, f"{scratch}/meta/technical.csv") == 5
     for name, text in FILES.items():
         _write(f"{cfg.incoming}/{name}", text)
-    for db in ("core", "staging_core"):
+    for db in ("dw__core", "staging_dw__core"):
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
     return cfg
 
@@ -102,9 +102,9 @@ def test_pipeline_end_to_end_and_rerun(spark, lake):
     sandbox = read_layer(spark, f"{lake.sandbox}/sales/tpch/core/orders")
     assert enriched.count() == sandbox.count() == 8
 
-    wh = spark.table("core.orders")
+    wh = spark.table("dw__core.orders")
     assert wh.count() == 8
-    assert spark.table("core.v_orders").count() == 8
+    assert spark.table("dw__core.v_orders").count() == 8
     whrows = {r.o_orderkey: r for r in wh.collect()}
     assert whrows[1].o_orderstatus == "F"  # varchar(1) truncation
     assert whrows[1].calinsertdate == ts.date()
@@ -112,7 +112,7 @@ def test_pipeline_end_to_end_and_rerun(spark, lake):
     # H2: within each warehouse file, rows descend on the cluster column
     from pyspark.sql import functions as F
 
-    located = spark.table("core.orders").select(
+    located = spark.table("dw__core.orders").select(
         F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("pos"), "o_orderkey"
     ).collect()
     by_file = {}
@@ -130,7 +130,7 @@ def test_pipeline_end_to_end_and_rerun(spark, lake):
     again = run_pipeline(spark, lake, load_ts=ts + dt.timedelta(days=1))
     assert all(r["new"] == 0 for r in again), again
     assert read_layer(spark, f"{lake.conformed}/sales/tpch/core/orders").count() == 8
-    assert spark.table("core.orders").count() == 8
+    assert spark.table("dw__core.orders").count() == 8
     # archiving the same files again on the same day replaces them
     from strata.sources.archive import archive_files
     from strata.plans.pipeline import route_files
@@ -190,8 +190,8 @@ def test_parallel_datasets_match_sequential(spark, scratch):
         for name in ("orders_feed__day1.csv", "orders_feed__day2.csv"):
             _write(f"{cfg.incoming}/{name}", FILES[name])
             _write(f"{cfg.incoming}/{name.replace('orders_feed', 'orders_copy')}", FILES[name])
-        spark.sql("DROP DATABASE IF EXISTS core CASCADE")
-        spark.sql("DROP DATABASE IF EXISTS staging_core CASCADE")
+        spark.sql("DROP DATABASE IF EXISTS dw__core CASCADE")
+        spark.sql("DROP DATABASE IF EXISTS staging_dw__core CASCADE")
         run_pipeline(spark, cfg, load_ts=dt.datetime(2024, 2, 1), parallel_datasets=workers)
         counts[mode] = {
             t: sorted(tuple(r) for r in read_layer(spark, f"{cfg.enriched}/sales/tpch/core/{t}")
@@ -238,7 +238,7 @@ def test_typed_load_with_more_days_than_the_listing_limit(spark, scratch, monkey
     keys = ("columnname", "colseq", "delta", "sql", "hashkeycheck", "partitionkeycheck", "clusterindexcol")
     spec = specs_from_rows("lim", [dict(zip(keys, ("k", "1", "int", "int", "Y", "N", "N"))),
                                    dict(zip(keys, ("day", "2", "date", "date", "N", "Y", "N")))])
-    cfg = LakeConfig.under(scratch, conformed_db="lim_c", enriched_db="lim_e")
+    cfg = LakeConfig.under(scratch, conformed_db="lim_c", enriched_db="lim_e", backup_scope="partitions")
     path = f"{cfg.incoming}/lim__1.csv"
     _write(path, "k,day\n1,2024-01-01\n2,2024-01-02\n3,2024-01-03\n")
     t = Target(path, "lim__1.csv", "lim", "r", "d", "s", "lim", "dw", "s", "lim", "v_lim")
