@@ -43,7 +43,8 @@ TEMPLATES = [
 ]
 GRAM_WORDS = 3
 WINDOW = 4
-#: Words that a passage may be shifted against its template.
+#: Words that a passage may be shifted against its template: at most this,
+#: and a third of the template, so that a second passage beside it stays apart.
 BAND = 12
 #: Share of a template's words that a passage must match.
 MIN_COVERAGE = 0.8
@@ -76,8 +77,7 @@ class TemplateIndex:
         return sorted({int(i + WINDOW - 1 - np.argmin(v[::-1])) for i, v in enumerate(view)})
 
     def candidates(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(template, word where it would begin) of all index hits; places
-        within the band of each other count once."""
+        """(template, word where it would begin) of all index hits, once each."""
         parts = [np.zeros((2, 0), np.int64)]
         for n, (hashes, template, pos) in self.grams.items():
             h, at = ngrams(w, n)
@@ -85,13 +85,7 @@ class TemplateIndex:
             found = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == h)
             k, which = _expand(lo[found], np.searchsorted(hashes, h[found], side="right"))
             parts.append(np.stack([template[k], at[found][which] - pos[k]]))
-        t, begin = np.concatenate(parts, axis=1)
-        order = np.lexsort((begin, t))
-        t, begin = t[order], begin[order]
-        # Half a band apart at most: a passage near a dropped place stays in reach.
-        cell = begin // (BAND // 2)
-        keep = np.r_[True, (t[1:] != t[:-1]) | (cell[1:] != cell[:-1])][: len(t)]
-        return t[keep], begin[keep]
+        return tuple(np.unique(np.concatenate(parts, axis=1), axis=1))
 
 
 def scan(texts: list[str], index: TemplateIndex, min_coverage: float = MIN_COVERAGE) -> Iterator[tuple[int, int, float, int, int]]:
@@ -101,6 +95,7 @@ def scan(texts: list[str], index: TemplateIndex, min_coverage: float = MIN_COVER
     if not len(t):
         return
     size = np.array([len(x) for x in index.words])
+    bands = np.clip(size // 3, 1, BAND)
     # The text of a candidate is that of the hit's words; a begin before the
     # text is cut off by padding.
     anchor = np.clip(begin, 0, len(w.hash) - 1)
@@ -113,16 +108,19 @@ def scan(texts: list[str], index: TemplateIndex, min_coverage: float = MIN_COVER
             lo, hi = int(w.first[d]), int(w.first[d + 1])
             if lo == hi:
                 continue
-            from_, to = b - BAND, b + int(size[i]) + BAND
+            from_, to = b - int(bands[i]), b + int(size[i] + bands[i])
             part = w.hash[max(from_, lo) : min(to, hi)]
             lead = max(from_, lo) - from_
             ds.append(np.concatenate([np.ones(lead, np.uint64), part]) if lead else part)
             ts.append(index.words[i])
             rows.append((d, i, from_))
-    got = align_pairs(ts, ds, band=BAND)
     doc, which, base = (np.array(x) for x in zip(*rows, strict=True))
-    coverage = got.matches / size[which]
-    first, last = base + got.d_begin, base + got.d_end - 1
+    matches, first, last = np.zeros(len(ts)), base.copy(), base.copy()
+    for band in np.unique(bands[which]).tolist():
+        some = np.flatnonzero(bands[which] == band)
+        got = align_pairs([ts[k] for k in some], [ds[k] for k in some], band=band)
+        matches[some], first[some], last[some] = got.matches, base[some] + got.d_begin, base[some] + got.d_end - 1
+    coverage = matches / size[which]
     good = np.flatnonzero(coverage >= min_coverage)
     taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for k in good[np.lexsort((first[good], -coverage[good], which[good], doc[good]))].tolist():
