@@ -25,6 +25,8 @@ split is exact; it only changes where the work runs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -209,11 +211,8 @@ def count_with_values(df: DataFrame, col: str) -> tuple[int, list | None]:
         F.concat_ws(_VALUE_SEP, F.collect_set(F.col(col).cast("string"))).alias("values"),
         F.max(F.col(col).isNull().cast("int")).alias("nulls"),
     ).count()
-    try:
-        got = obs.get
-    except Exception:  # no metrics when the plan had no rows to observe
-        got = {}
-    if "rows" not in got:
+    got = obs.get
+    if "rows" not in got:  # no metrics when the plan had no rows to observe
         # Exact fallback; None when there are too many values to list.
         return df.count(), partition_values(df, col)
     text = got.get("values") or ""
@@ -224,19 +223,15 @@ def count_with_values(df: DataFrame, col: str) -> tuple[int, list | None]:
 
 
 def load_counts(stored: DataFrame | None, incoming: DataFrame, new: DataFrame) -> DataFrame:
-    """F1 as a DataFrame: (metric, value) for existing, incoming, new, after."""
-    empty = incoming.limit(0).select(F.lit(1).alias("x"))
-    base = stored if stored is not None else empty
-
-    def agg(df: DataFrame, metric: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit(metric).alias("metric"), "value"
-        )
-
-    after = base.select(F.lit(1).alias("x")).unionAll(new.select(F.lit(1).alias("x")))
-    return (
-        agg(base, "existing")
-        .unionAll(agg(incoming, "incoming"))
-        .unionAll(agg(new, "new"))
-        .unionAll(agg(after, "after"))
-    )
+    """F1 as a DataFrame: (metric, value) for existing, incoming, new, after.
+
+    Each frame is read once and all are counted by one aggregate; ``after`` is
+    the sum of existing and new rows, not another count.
+    """
+    frames = {"existing": stored, "incoming": incoming, "new": new}
+    marks = [df.select(F.lit(metric).alias("of")) for metric, df in frames.items() if df is not None]
+    rows = reduce(DataFrame.unionAll, marks)
+    counted = rows.agg(*[F.count_if(F.col("of") == metric).alias(metric) for metric in frames])
+    counted = counted.withColumn("after", F.col("existing") + F.col("new"))
+    pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in (*frames, "after")]
+    return counted.select(F.inline(F.array(*pairs)))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import HASH_COL
 from .catalog import add_columns, qualified
 
 
@@ -33,9 +34,10 @@ def insert_from_staging(
 ) -> int:
     """``INSERT INTO target BY NAME SELECT DISTINCT ... FROM staging``.
 
-    Rows are sorted within each written file by the cluster columns,
-    descending, so file min/max statistics prune reads on those columns.
-    Returns the number of rows inserted.
+    Rows are dealt to files by ranges of the cluster columns, descending, and
+    sorted within each, so file min/max statistics prune reads on those
+    columns. The row hash closes the range key: one cluster value that holds
+    many rows spreads over several files. Returns the number of rows inserted.
     """
     staged = spark.table(qualified(staging_db, table))
     target = spark.table(qualified(target_db, table))
@@ -53,12 +55,13 @@ def insert_from_staging(
         select.append(value.cast(f.dataType).alias(f.name))
     rows = staged.select(*select).distinct()
     if cluster_cols:
-        rows = rows.sortWithinPartitions(*[F.col(c).desc() for c in cluster_cols])
+        order = [F.col(c).desc() for c in cluster_cols]
+        tie = [F.col(HASH_COL)] if HASH_COL in rows.columns else [F.xxhash64(*rows.columns)]
+        rows = rows.repartitionByRange(*order, *tie).sortWithinPartitions(*order)
     obs = Observation("inserted")
     rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(
         qualified(target_db, table)
     )
-    try:
-        return int(obs.get["rows"])
-    except Exception:  # no metrics when there was nothing to observe
-        return staged.count()
+    inserted = obs.get.get("rows")
+    # No metrics when there was nothing to observe.
+    return rows.count() if inserted is None else int(inserted)

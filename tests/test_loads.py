@@ -164,3 +164,48 @@ def test_repeated_rows_in_a_chunked_join(spark):
     large = spark.createDataFrame([("xa",), ("xb",), ("xc",)], "n string")
     got = broadcast_join(large, small, F.col("n").contains(F.col("p")), limit=1)
     assert sorted(tuple(r) for r in got.distinct().collect()) == [("xa", "a"), ("xb", "b")]
+
+
+def test_warehouse_files_hold_disjoint_ranges_despite_a_hot_cluster_value(spark):
+    from pyspark.sql import functions as F
+
+    from strata.sources.warehouse import insert_from_staging, write_staging
+
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("calhashkey"),
+    )
+    for db in ("wh_ranges", "staging_wh_ranges"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql("DROP TABLE IF EXISTS wh_ranges.t")
+    spark.sql("CREATE TABLE wh_ranges.t (k BIGINT, calhashkey STRING) USING parquet")
+    write_staging(rows, "staging_wh_ranges", "t")
+    # A small batch would be merged into one file.
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        assert insert_from_staging(spark, "staging_wh_ranges", "wh_ranges", "t", ["k"]) == 4000
+    finally:
+        spark.conf.set(merge, before)
+    place = F.struct((-F.col("k")).alias("k"), "calhashkey")
+    files = spark.table("wh_ranges.t").groupBy(F.input_file_name().alias("f")).agg(
+        F.min(place).alias("lo"), F.max(place).alias("hi"), F.count_if(F.col("k") == 7).alias("hot")
+    )
+    got = sorted((tuple(r.lo), tuple(r.hi), r.hot) for r in files.collect())
+    assert len(got) > 2
+    assert all(a[1] < b[0] for a, b in zip(got, got[1:], strict=False))
+    assert sum(1 for r in got if r[2]) > 1  # the hot value is in several files
+
+
+def test_load_counts_take_one_exchange(spark):
+    from pyspark.sql import functions as F
+
+    from strata.operators import load_counts
+
+    some = spark.range(10).select(F.col("id").alias("a"))
+    got = load_counts(some, some.filter("a < 7"), some.filter("a < 3"))
+    assert {r.metric: r.value for r in got.collect()} == {"existing": 10, "incoming": 7, "new": 3, "after": 13}
+    assert {r.metric: r.value for r in load_counts(None, some, some).collect()} == {"existing": 0, "incoming": 10, "new": 10, "after": 10}
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange ") == 1, plan
