@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 from ..functions.keys import HASH_COL
 
 # Above this many distinct partition values in one batch the value list is no
-# longer a sensible static filter; the stored side is then semi-joined with
-# the batch's partition values instead (no pruning, still exact).
+# longer a sensible static filter; the stored side is then cut to the range of
+# the batch's partition values and semi-joined with them (still exact).
 MAX_PRUNE_VALUES = 10_000
 
-# A key with more rows than this in one batch is settled outside the shuffle;
-# at most MAX_HOT_KEYS such keys are listed per batch.
+# A key with more rows than this in one batch, and more than one row in
+# MAX_HOT_KEYS of the batch, is settled outside the shuffle. Fewer than
+# MAX_HOT_KEYS keys can hold such a share, so the list needs no cut.
 HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
@@ -63,17 +64,17 @@ def partition_values(df: DataFrame, col: str, limit: int = MAX_PRUNE_VALUES) ->
 
 def partition_counts(
     df: DataFrame, col: str | Column, name: str, limit: int = MAX_PRUNE_VALUES
-) -> tuple[list | None, int | None]:
+) -> tuple[list | None, int]:
     """Distinct values of a partition expression and the total row count.
 
     One aggregation reading only that column; at most ``limit + 1``
-    (value, count) pairs reach the driver. Above ``limit`` both results are
-    None (too many values for a static list).
+    (value, count) pairs reach the driver. Above ``limit`` the values are
+    None (too many for a static list) and the rows are counted by themselves.
     """
     expr = F.col(col) if isinstance(col, str) else col
     rows = df.groupBy(expr.cast("string").alias(name)).count().limit(limit + 1).collect()
     if len(rows) > limit:
-        return None, None
+        return None, df.count()
     return [r[0] for r in rows], sum(r[1] for r in rows)
 
 
@@ -106,9 +107,12 @@ def prune_to_batch(
     if values is not None:
         return prune_to_values(stored, col, values)
     parts = batch.select(F.col(col).cast("string").alias(_BATCH_PART)).distinct()
-    return stored.join(
-        parts, F.col(col).cast("string").eqNullSafe(F.col(_BATCH_PART)), "left_semi"
-    )
+    # The range of the values is a filter on the partition column alone, so
+    # folders outside it are not read; the semi-join makes the cut exact.
+    lo, hi = parts.agg(F.min(_BATCH_PART), F.max(_BATCH_PART)).first()
+    text = F.col(col).cast("string")
+    within = text.between(F.lit(lo), F.lit(hi)) | text.isNull()
+    return stored.filter(within).join(parts, text.eqNullSafe(F.col(_BATCH_PART)), "left_semi")
 
 
 def stored_keys(stored: DataFrame, key: str = HASH_COL) -> DataFrame:
@@ -117,22 +121,28 @@ def stored_keys(stored: DataFrame, key: str = HASH_COL) -> DataFrame:
 
 
 def hot_keys(
-    df: DataFrame, key: str = HASH_COL, min_rows: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS
+    df: DataFrame,
+    key: str = HASH_COL,
+    min_rows: int = HOT_KEY_ROWS,
+    limit: int | None = None,
+    rows: int | None = None,
 ) -> list:
-    """Keys carrying more than ``min_rows`` rows, most frequent first.
+    """Keys carrying more than ``min_rows`` rows and more than one in
+    ``MAX_HOT_KEYS`` of the batch's ``rows`` (counted when not given), most
+    frequent first.
 
-    A partial aggregate per map task, then a top-``limit`` selection: at most
-    ``limit`` keys reach the driver.
+    A partial aggregate per map task; fewer than ``MAX_HOT_KEYS`` keys can
+    hold that share, so that many at most reach the driver and none that does
+    is left out. ``limit`` asks for the top few only; loads do not use it.
     """
-    rows = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > F.lit(min_rows))
-        .orderBy(F.col("__rows").desc())
-        .limit(limit)
-        .collect()
-    )
-    return [r[0] for r in rows]
+    if rows is None:
+        rows = df.count()
+    least = max(min_rows, rows // MAX_HOT_KEYS)
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    found = counted.filter(F.col("__rows") > F.lit(least)).orderBy(F.col("__rows").desc())
+    if limit is not None:
+        found = found.limit(limit)
+    return [r[0] for r in found.collect()]
 
 
 def anti_join_new(

@@ -63,12 +63,12 @@ def conformed_batch(raw: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFram
     return with_audit_columns(df, load_ts)
 
 
-def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int | None]:
+def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int]:
     """Distinct partition days of a batch and its raw row count.
 
     One pass reading only the partition column: rows are counted per day and
     at most ``MAX_PRUNE_VALUES + 1`` (day, count) pairs reach the driver.
-    Above that both results are None (too many days for a static list).
+    Above that the days are None (too many for a static list).
     """
     df = clean_columns(raw)
     part = _resolve(df, spec.partition_key)
@@ -76,8 +76,10 @@ def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int | No
     return partition_counts(df, day, part, MAX_PRUNE_VALUES)
 
 
-def batch_hot_keys(raw: DataFrame, spec: DatasetSpec, min_rows: int | None) -> list | None:
-    """Hash keys with more than ``min_rows`` raw rows in the batch.
+def batch_hot_keys(
+    raw: DataFrame, spec: DatasetSpec, min_rows: int | None, rows: int | None = None
+) -> list | None:
+    """Hash keys with more than ``min_rows`` of the batch's raw ``rows``.
 
     Counted on the raw rows (reading the key columns only): a key is at least
     as frequent there as after de-duplication, and treating a key as hot is
@@ -87,7 +89,7 @@ def batch_hot_keys(raw: DataFrame, spec: DatasetSpec, min_rows: int | None) -> l
         return None
     df = clean_columns(raw)
     keys = [_resolve(df, k) for k in spec.hash_keys]
-    return hot_keys(with_row_hash(df.select(*keys), keys), min_rows=min_rows) or None
+    return hot_keys(with_row_hash(df.select(*keys), keys), min_rows=min_rows, rows=rows) or None
 
 
 def conformed_table(cfg: LakeConfig, target: Target, spec: DatasetSpec) -> LayerTable:
@@ -136,8 +138,8 @@ def load_conformed(
         result.existing = stored.count()
     # No key can pass the threshold unless the whole batch does.
     hot = None
-    if cfg.hot_key_rows is not None and (raw_rows is None or raw_rows > cfg.hot_key_rows):
-        hot = batch_hot_keys(raw, spec, cfg.hot_key_rows)
+    if cfg.hot_key_rows is not None and raw_rows > cfg.hot_key_rows:
+        hot = batch_hot_keys(raw, spec, cfg.hot_key_rows, raw_rows)
     new = new_lake_rows(batch, stored, part, days, hot=hot).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # Days that receive rows: the only partitions this append changes or

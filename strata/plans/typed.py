@@ -138,13 +138,13 @@ def load_typed_layer(
         result.incoming = result.new = result.after = int(seen.get["rows"])
         return result
 
-    result.incoming = conformed_rows  # None above the listing limit
+    result.incoming = conformed_rows
     if cfg.full_counts:
         result.existing = stored.count()
     # No key can pass the threshold unless the whole batch does.
     hot = None
-    if cfg.hot_key_rows is not None and (conformed_rows is None or conformed_rows > cfg.hot_key_rows):
-        hot = hot_keys(conformed.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
+    if cfg.hot_key_rows is not None and conformed_rows > cfg.hot_key_rows:
+        hot = hot_keys(conformed.select(HASH_COL), min_rows=cfg.hot_key_rows, rows=conformed_rows) or None
     # The stored side is the target's whole (de-duplicated) hash column: the
     # target is compared against every conformed day, and its days are a
     # subset of those, so no partition of it can be skipped.

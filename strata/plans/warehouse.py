@@ -58,7 +58,7 @@ def load_warehouse(
         hot = None
         # No key can pass the threshold unless the whole batch does.
         if cfg.hot_key_rows is not None and result.incoming > cfg.hot_key_rows:
-            hot = hot_keys(src.select(HASH_COL), min_rows=cfg.hot_key_rows) or None
+            hot = hot_keys(src.select(HASH_COL), min_rows=cfg.hot_key_rows, rows=result.incoming) or None
         new = new_warehouse_rows(typed, stored, hot=hot)  # E2
     else:
         create_table(spark, schema, table, spec.warehouse_ddl_columns())  # B5, C10

@@ -215,3 +215,32 @@ def test_hot_key_split_with_integer_keys_and_tilde_values(spark):
     sstored = spark.createDataFrame([("~7",), ("x",)], "k string")
     got = sorted(tuple(r) for r in anti_join_new(sbatch, sstored, "k", hot=["~1"]).collect())
     assert got == [("~1", 1), ("~1", 2)]
+
+
+def test_hot_keys_are_whole_and_few_by_share(spark, monkeypatch):
+    import strata.operators.increment as inc
+
+    monkeypatch.setattr(inc, "MAX_HOT_KEYS", 4)
+    batch = spark.createDataFrame([(k,) for k, n in (("a", 8), ("b", 6), ("c", 6), ("d", 4)) for _ in range(n)], "k string")
+    # 24 rows: a key is listed from more than a quarter of them, or min_rows.
+    assert inc.hot_keys(batch, "k", min_rows=1) == ["a"]
+    assert set(inc.hot_keys(batch, "k", min_rows=1, rows=20)) == {"a", "b", "c"}
+    assert inc.hot_keys(batch, "k", min_rows=8) == []
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    from strata.operators.broadcast import broadcast_join, checked_chunks
+
+    small = spark.createDataFrame([(i, "x" * 200) for i in range(20)], "k int, t string")
+    pieces = checked_chunks(small, max_bytes=1500)
+    assert len(pieces) > 1 and sorted(r["k"] for p in pieces for r in p.collect()) == list(range(20))
+    large = spark.range(40).select((F.col("id") % 20).cast("int").alias("n"))
+    got = broadcast_join(large, small, F.col("n") == F.col("k"), max_bytes=1500)
+    assert sorted(r["k"] for r in got.collect()) == sorted(i % 20 for i in range(40))
+
+
+def test_partition_range_and_semi_join_above_the_limit(spark):
+    stored = spark.createDataFrame([(p, i) for i, p in enumerate(["a", "c", "d", "f", None])], "p string, v int")
+    for days, want in ((["c", "f", "g"], {1, 3}), (["c", None, "d"], {1, 2, 4}), ([None, None], {4})):
+        batch = spark.createDataFrame([(p,) for p in days], "p string")
+        assert {r["v"] for r in prune_to_batch(stored, batch, "p", limit=0).collect()} == want
