@@ -1,9 +1,9 @@
 """Benchmark decontamination (operator 1).
 
-Word n-grams of the test items are counted over the whole corpus; each item
-keeps its rare ones as seeds. A second pass finds seeds in every document and
-aligns the passage around them with the item (Smith-Waterman over words), so
-edited and paraphrased copies score by how much of the item they still hold.
+One pass finds the word n-grams of the test items in every document and aligns
+the passage around them with the item (Smith-Waterman over words), so edited
+and paraphrased copies score by how much of the item they still hold. Every
+n-gram is a seed, in however many documents it stands.
 
 The corpus never moves: items go out to the tasks in blocks of at most
 ``BLOCK_CHARS`` characters of item text, each block with a pass of its own, so
@@ -30,8 +30,6 @@ from strata.llm.common import id_type, ids_and_text, map_texts
 from strata.llm.textcore import Words, ngrams, words
 
 SEED_WORDS = 4
-#: An n-gram in at most this many documents is rare.
-RARE_DOCS = 100
 #: Share of the item's own alignment score from which a document counts as
 #: contaminated.
 MIN_SCORE = 0.5
@@ -86,46 +84,6 @@ def _expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + lo[which], which
 
 
-def document_counts(docs: DataFrame, block: Items) -> dict[int, np.ndarray]:
-    """In how many documents each n-gram of the block stands. Rows of the
-    result are bounded by the block's n-grams."""
-    shared = docs.sparkSession.sparkContext.broadcast(block)
-
-    def run(rows: pa.RecordBatch, texts: list[str]) -> dict | None:
-        w = words(texts)
-        sizes, grams, counts = [], [], []
-        for n, at, lo, _ in shared.value.hits(w):
-            doc = np.searchsorted(w.first, at, side="right") - 1
-            once = np.unique(np.stack([lo, doc]), axis=1)[0]
-            some, c = np.unique(once, return_counts=True)
-            sizes.append(np.full(len(some), n))
-            grams.append(some)
-            counts.append(c)
-        if not sum(map(len, grams)):
-            return None
-        return {"size": np.concatenate(sizes), "gram": np.concatenate(grams), "n": np.concatenate(counts)}
-
-    found = map_texts(docs, run, "size int, gram long, n long").groupBy("size", "gram").agg(F.sum("n").alias("n")).collect()
-    out = {n: np.zeros(len(h), np.int64) for n, (h, _, _) in block.grams.items()}
-    for r in found:
-        h = block.grams[r["size"]][0]
-        out[r["size"]][r["gram"] : np.searchsorted(h, h[r["gram"]], side="right")] = r["n"]
-    return out
-
-
-def keep_rare(block: Items, counts: dict[int, np.ndarray]) -> None:
-    """Keep n-grams in few documents, and of every item at least its rarer
-    half, so an item whose copies are everywhere keeps seeds too."""
-    for n, (h, item, pos) in list(block.grams.items()):
-        c = counts[n]
-        order = np.lexsort((c, item))
-        first = np.searchsorted(item[order], np.arange(len(block.ids)))
-        size = np.bincount(item, minlength=len(block.ids))
-        middle = c[order][np.minimum(first + size // 2, len(order) - 1)]
-        rare = (c <= RARE_DOCS) | (c <= middle[item])
-        block.grams[n] = (h[rare], item[rare], pos[rare])
-
-
 def _passages(block: Items, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, item, first word, end word) of the passages around seed hits;
     hits whose items would begin at nearly the same word share a passage."""
@@ -166,7 +124,6 @@ def contaminated(
     schema = f"doc_id {id_type(docs, id_col)}, item_id {item_kind}, score double, matched_words int, `begin` int, `end` int"
 
     def search(block: Items) -> DataFrame:
-        keep_rare(block, document_counts(plain, block))
         shared = spark.sparkContext.broadcast(block)
 
         def run(rows: pa.RecordBatch, texts: list[str]) -> dict | None:

@@ -59,6 +59,18 @@ def test_decontamination(spark, corpus, none):
     assert decontaminate.contaminated(corpus, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [100, 101])
+def test_copies_in_many_documents(spark, copies):
+    item = [f"w{i}" for i in range(30)]
+    edited = [f"new{i}" if i in (6, 12, 18, 24) else x for i, x in enumerate(item)]
+    half = [f"h{i}" for i in range(30)]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(half))], "item_id long, text string")
+    texts = [(i, " ".join(edited)) for i in range(copies)] + [(1000 + i, " ".join(half[:15])) for i in range(copies)]
+    got = decontaminate.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()
+    assert sorted(r.doc_id for r in got) == [x for x, _ in texts]
+    assert {(r.item_id, r.score) for r in got} == {(1, 0.8), (2, 0.5)}
+
+
 def test_blocks_of_items_give_the_same(spark, corpus, monkeypatch):
     items = corpus.filter("doc_id < 30").selectExpr("doc_id as item_id", "substr(text, 20, 200) as text")
     one = sorted(map(tuple, decontaminate.contaminated(corpus, items).collect()), key=str)
