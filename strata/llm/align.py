@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -88,11 +89,46 @@ def _align(t: np.ndarray, d: np.ndarray, band: int | None) -> Alignment:
     return best
 
 
+def _scores(t: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """The scores of ``_align`` without a band, and nothing else."""
+    n = d.shape[1]
+    cols = np.arange(n, dtype=np.int32) * np.int32(-GAP)
+    h = np.zeros((len(t), n + 1), np.int32)  # one cell to the left of the first word
+    best = np.zeros(h.shape, np.int32)
+    for i in range(t.shape[1]):
+        score = h[:, :-1] + np.where(t[:, i, None] == d, np.int32(MATCH), np.int32(MISMATCH))
+        np.maximum(score, h[:, 1:] + np.int32(GAP), out=score)
+        np.maximum(score, 0, out=score)
+        score += cols
+        np.maximum.accumulate(score, axis=1, out=score)
+        score -= cols
+        h[:, 1:] = score
+        np.maximum(best, h, out=best)
+    return best.max(axis=1).astype(np.int64)
+
+
 def align_pairs(ts: list[np.ndarray], ds: list[np.ndarray], band: int | None = None) -> Alignment:
     """Best local alignment of each ``ts[k]`` with ``ds[k]`` (hashes). Pairs of
     similar size run together, so padding and memory stay small. With a band,
     ``ds[k]`` begins ``band`` words before where word 0 of ``ts[k]`` is expected."""
     out = Alignment(*(np.zeros(len(ts), np.int64) for _ in range(6)))
+    for some, t, d in _batches(ts, ds, band):
+        got = _align(t, d, band)
+        for name in out.__dataclass_fields__:
+            getattr(out, name)[some] = getattr(got, name)
+    return out
+
+
+def score_pairs(ts: list[np.ndarray], ds: list[np.ndarray]) -> np.ndarray:
+    """The scores of ``align_pairs`` alone, several times as fast."""
+    out = np.zeros(len(ts), np.int64)
+    for some, t, d in _batches(ts, ds, None):
+        out[some] = _scores(t, d)
+    return out
+
+
+def _batches(ts: list[np.ndarray], ds: list[np.ndarray], band: int | None) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Pairs of similar size, padded: (which pairs, their ts, their ds)."""
     order = np.lexsort(([len(x) for x in ds], [len(x) for x in ts])).tolist() if ts else []
     lo = 0
     while lo < len(order):
@@ -108,9 +144,5 @@ def align_pairs(ts: list[np.ndarray], ds: list[np.ndarray], band: int | None = N
         n = max(len(ds[k]) for k in some) if band is None else m + 2 * band
         # Paddings that equal no word and not each other.
         t = padded([ts[k] for k in some], m, 0)
-        d = padded([ds[k][:n] for k in some], max(n, 1), 1)
-        got = _align(t, d, band)
-        for name in out.__dataclass_fields__:
-            getattr(out, name)[some] = getattr(got, name)
+        yield some, t, padded([ds[k][:n] for k in some], max(n, 1), 1)
         lo = hi
-    return out

@@ -71,6 +71,49 @@ def test_copies_in_many_documents(spark, copies):
     assert {(r.item_id, r.score) for r in got} == {(1, 0.8), (2, 0.5)}
 
 
+@pytest.mark.parametrize("common", [100, 0])
+def test_no_alignment_is_missed(monkeypatch, common):
+    monkeypatch.setattr(decontaminate, "COMMON", common)
+    monkeypatch.setattr(decontaminate, "HITS", 500)
+    r = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [[r.choice(vocabulary) for _ in range(n)] for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 15, 15, 20, 30)]
+    other = lambda n: [f"o{r.randint(0, 999)}" for _ in range(n)]
+    docs = []
+    for item in items:
+        edits = [[*item[:k], "x", *item[k + 1 :]] for k in range(len(item))]
+        edits += [["x" if i % n == n - 1 else x for i, x in enumerate(item)] for n in (2, 3, 4)]
+        edits += [[y for x in item for y in (x, "x")], [x for i, x in enumerate(item) if i % 4], item[: (len(item) + 1) // 2]]
+        for share in (0.2, 0.3, 0.4):
+            for _ in range(6):
+                edits.append([y for x in item for y in r.choices(([x], ["x"], [], [x, "x"]), (1 - share, share / 2, share / 4, share / 4))[0]])
+        docs += [other(r.randint(0, 5)) + e + other(r.randint(0, 5)) for e in edits]
+    block = decontaminate.Items(list(range(len(items))), [" ".join(x) for x in items])
+    w = words([" ".join(d) for d in docs])
+    got = {}
+    for doc, item, lo, hi in zip(*(x.tolist() for x in decontaminate._passages(block, w)), strict=True):
+        score = align.score_pairs([block.words[item]], [w.hash[lo:hi]])[0]
+        got[doc, item] = max(got.get((doc, item), 0), score)
+    want = {(d, i): smith_waterman(item, doc) for d, doc in enumerate(docs) for i, item in enumerate(items)}
+    want = {k: v for k, v in want.items() if v >= decontaminate.MIN_SCORE * align.MATCH * len(items[k[1]])}
+    assert {k: v for k, v in got.items() if v >= decontaminate.MIN_SCORE * align.MATCH * len(items[k[1]])} == want
+    assert len(want) > 300
+
+
+def test_evenly_edited_copy(spark):
+    item = [f"w{i}" for i in range(8)]
+    edited = ["new" if i % 4 == 3 else x for i, x in enumerate(item)]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame([(7, " ".join(edited))], "doc_id long, text string")
+    assert [(r.doc_id, r.score) for r in decontaminate.contaminated(docs, items).collect()] == [(7, 11 / 16)]
+
+
+def test_scores_alone_are_those_of_the_alignment():
+    rng = np.random.default_rng(5)
+    ts, ds = ([rng.integers(10, 15, n).astype(np.uint64) for n in rng.integers(1, most, 200)] for most in (12, 40))
+    assert align.score_pairs(ts, ds).tolist() == align.align_pairs(ts, ds).score.tolist()
+
+
 def test_blocks_of_items_give_the_same(spark, corpus, monkeypatch):
     items = corpus.filter("doc_id < 30").selectExpr("doc_id as item_id", "substr(text, 20, 200) as text")
     one = sorted(map(tuple, decontaminate.contaminated(corpus, items).collect()), key=str)
