@@ -35,6 +35,7 @@ from ..operators.increment import (
 from ..operators.spec import DatasetSpec, spelled
 from ..sources.files import read_csv
 from ..sources.layers import LayerTable, heal_partitions, open_layer, save_to_layer, snapshot_layer
+from ..sources.taken import append_unfinished, begin_append, end_append
 from .target import LoadResult, Target
 
 
@@ -121,7 +122,9 @@ def load_conformed(
         result.incoming = result.new = 0
         return result
     result.partitions = days
-    heal_partitions(spark, lt, days)
+    # After an append that died, whatever it wrote on any day is recorded.
+    died = append_unfinished(spark, lt.db, lt.table)
+    heal_partitions(spark, lt, None if died else days)
     stored = open_layer(spark, lt)
     batch = conformed_batch(raw, spec, load_ts)
     seen = Observation("incoming")
@@ -130,6 +133,7 @@ def load_conformed(
     if stored is None:
         # A5: the first load creates the table.
         save_to_layer(spark, lt, batch, days, mode="errorifexists")
+        end_append(spark, lt.db, lt.table)
         result.created, result.existing = True, 0
         result.incoming = result.new = result.after = int(seen.get["rows"])
         return result
@@ -160,7 +164,12 @@ def load_conformed(
             result.backup = snapshot_layer(  # A7
                 before, join_path(cfg.backup, target.subpath), part, cfg.fmt, keep_if_empty=cfg.backup_scope != "table"
             )
+            begin_append(spark, lt.db, lt.table, days)
             save_to_layer(spark, lt, new, touched, mode="append")  # A6
+        elif died:  # the rows it left are new to every target
+            begin_append(spark, lt.db, lt.table, None)
+        if died or result.new > 0:
+            end_append(spark, lt.db, lt.table)
     finally:
         new.unpersist()
     if cfg.full_counts:

@@ -8,9 +8,10 @@ whole hash column is the stored side: a hash the target holds on any day
 blocks the row.
 
 ``partitions`` restricts the *batch* to the conformed days one load touched
-(a static filter, so only those conformed folders are read): rows on other
-days were handled by earlier loads. ``None`` reads the whole conformed layer
-(a full reconcile, which also repairs an earlier failed load).
+(a static filter, so only those conformed folders are read), if the record of
+``sources/taken.py`` says that the target has taken all the others. If it does
+not (a target switched off for some loads, or a load that failed), or with
+``None``, the whole conformed layer is read.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from ..operators.increment import (
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
 from ..sources.layers import LayerTable, heal_partitions, open_layer, save_to_layer, try_read_layer
+from ..sources.taken import append_unfinished, begin_append, end_append, rest_taken, set_taken, source_version
 from .conformed import conformed_table
 from .target import LoadResult, Target
 
@@ -101,9 +103,12 @@ def load_typed_layer(
     if conformed is None:
         result.notes.append("no conformed layer")
         return result
-    if partitions is not None and open_layer(spark, dst) is not None:
-        # Only a layer that exists has had the other days: one that is
-        # switched on late takes the whole conformed layer.
+    version = source_version(spark, src.db, src.table)
+    if (
+        partitions is not None
+        and open_layer(spark, dst) is not None
+        and rest_taken(spark, (src.db, src.table), (dst.db, dst.table), partitions)
+    ):
         if not partitions:
             result.notes.append("no partitions to load")
             result.partitions = []
@@ -126,7 +131,8 @@ def load_typed_layer(
     else:
         days = partition_values(batch, part)
     result.partitions = days
-    heal_partitions(spark, dst, days)
+    died = append_unfinished(spark, dst.db, dst.table)
+    heal_partitions(spark, dst, None if died else days)
     stored = open_layer(spark, dst)
 
     if stored is None:
@@ -134,6 +140,8 @@ def load_typed_layer(
         save_to_layer(
             spark, dst, batch.observe(seen, F.count(F.lit(1)).alias("rows")), days, mode="errorifexists"
         )
+        end_append(spark, dst.db, dst.table)
+        set_taken(spark, (dst.db, dst.table), version)
         result.created, result.existing = True, 0
         result.incoming = result.new = result.after = int(seen.get["rows"])
         return result
@@ -155,9 +163,15 @@ def load_typed_layer(
         else:
             result.new, touched = new.count(), None
         if result.new > 0:
+            begin_append(spark, dst.db, dst.table, days)
             save_to_layer(spark, dst, new, touched, mode="append")
+        elif died:  # the rows it left are new to the warehouse
+            begin_append(spark, dst.db, dst.table, None)
+        if died or result.new > 0:
+            end_append(spark, dst.db, dst.table)
     finally:
         new.unpersist()
+    set_taken(spark, (dst.db, dst.table), version)
     if cfg.full_counts:
         result.after = result.existing + result.new
     return result

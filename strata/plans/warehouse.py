@@ -18,6 +18,7 @@ from ..operators.spec import DatasetSpec
 from ..sources.catalog import create_table, ensure_database, ensure_view, table_exists
 from ..sources.layers import open_layer
 from ..sources.warehouse import insert_from_staging, read_warehouse, write_staging
+from ..sources.taken import rest_taken, set_taken, source_version
 from .target import LoadResult, Target
 from .typed import typed_table
 
@@ -33,14 +34,16 @@ def load_warehouse(
     staging = target.staging_schema
     result = LoadResult("warehouse", f"{schema}.{table}")
 
-    src = open_layer(spark, typed_table(cfg, "enriched", target, spec))
+    layer = typed_table(cfg, "enriched", target, spec)
+    src = open_layer(spark, layer)
     if src is None:
         result.notes.append("no enriched layer")
         return result
-    # Only a table that holds rows has had the other days: a new one, or one
-    # whose first insert did not get through, takes the whole enriched layer.
+    version = source_version(spark, layer.db, layer.table)
+    # A table that is new, or that is not known to have taken all the other
+    # days, takes the whole enriched layer.
     loaded = table_exists(spark, schema, table) and not read_warehouse(spark, schema, table).isEmpty()
-    if partitions is not None and loaded:
+    if partitions is not None and loaded and rest_taken(spark, (layer.db, layer.table), (schema, table), partitions):
         if not partitions:
             result.notes.append("no partitions to load")
             result.incoming = result.new = 0
@@ -66,6 +69,7 @@ def load_warehouse(
         new = typed
     write_staging(new, staging, table)  # A13
     result.new = insert_from_staging(spark, staging, schema, table, spec.cluster_keys)  # A14
+    set_taken(spark, (schema, table), version)
     if result.existing is not None:
         result.after = result.existing + result.new
     if target.sql_view:

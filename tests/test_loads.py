@@ -7,7 +7,7 @@ import pytest
 
 from strata.config import LakeConfig
 from strata.operators import specs_from_rows
-from strata.plans import Target, load_conformed, load_enriched, load_warehouse
+from strata.plans import Target, load_conformed, load_enriched, load_sandbox, load_warehouse
 from strata.sources.archive import archive_files
 from strata.sources.files import list_files, top_entry
 from strata.sources.layers import read_layer
@@ -49,6 +49,50 @@ def test_layers_switched_on_late_take_everything(spark, scratch):
     assert (again.existing, again.incoming, again.new, again.after) == (None, 1, 0, None)
 
 
+def test_targets_that_missed_loads_take_them_later(spark, scratch):
+    cfg = config(scratch, "missed")
+    spark.sql("DROP DATABASE IF EXISTS dw__missed CASCADE")
+    targets = [feed(cfg, f"ev__{i}.csv", f"k,day\n{i},2024-01-0{i}\n", schema="missed") for i in range(1, 6)]
+    flags = [(True, True), (False, False), (True, False), (True, True), (True, True)]
+    incoming = []
+    for t, (typed, warehouse) in zip(targets, flags, strict=True):
+        days = load_conformed(spark, cfg, t, spec(), TS).partitions
+        if typed:
+            r = load_enriched(spark, cfg, t, spec(), days)
+            load_sandbox(spark, cfg, t, spec(), days)
+            w = load_warehouse(spark, cfg, t, spec(), r.partitions).incoming if warehouse else None
+            incoming.append((r.incoming, w))
+            have = [x.day for x in spark.table("missed_c.missed_ev").collect()]
+            for name in ("missed_e.missed_ev", "missed_s.missed_ev") + ("dw__missed.ev",) * warehouse:
+                assert sorted(str(x.day) for x in spark.table(name).collect()) == sorted(have), name
+    # The loads after one that was missed take all; the others their own day.
+    assert incoming == [(1, 1), (3, None), (1, 4), (1, 1)]
+
+
+def test_rows_of_an_append_that_died_reach_the_targets(spark, scratch, monkeypatch):
+    import strata.sources.layers as layers
+
+    cfg = config(scratch, "died")
+    targets = [feed(cfg, f"ev__{i}.csv", f"k,day\n{i},2024-01-0{i}\n", schema="died") for i in range(1, 4)]
+    days = load_conformed(spark, cfg, targets[0], spec(), TS).partitions
+    load_enriched(spark, cfg, targets[0], spec(), days)
+    real, calls = layers.add_partitions, []
+
+    def fails_after_write(*a, **kw):
+        calls.append(a)
+        if len(calls) > 1:
+            raise RuntimeError("driver lost")
+        return real(*a, **kw)
+
+    monkeypatch.setattr(layers, "add_partitions", fails_after_write)
+    with pytest.raises(RuntimeError):
+        load_conformed(spark, cfg, targets[1], spec(), TS)
+    monkeypatch.setattr(layers, "add_partitions", real)
+    days = load_conformed(spark, cfg, targets[2], spec(), TS).partitions
+    load_enriched(spark, cfg, targets[2], spec(), days)
+    assert sorted(r.k for r in spark.table("died_e.died_ev").collect()) == [1, 2, 3]
+
+
 def test_partition_column_of_another_case(spark, scratch):
     cfg = config(scratch, "case")
     s = spec("Day")
