@@ -16,6 +16,7 @@ from strata.llm.packing import op10_packing
 from strata.llm.pfor import op5_token_files
 from strata.llm.quality import op7_quality
 from strata.llm.suffix import op8_repeats
+from strata.llm.whitening import op13_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL}
