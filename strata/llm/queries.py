@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.ann import op4_nearest
 from strata.llm.decontaminate import op1_decontamination
+from strata.llm.htmltext import op12_html_text
 from strata.llm.langid import op2_language_id
 from strata.llm.licenses import op6_license_scan
 from strata.llm.linededup import OP3_SQL, op3_line_dedup
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
+    "op12_html_text": op12_html_text,
     "op13_whitening": op13_whitening,
 }
 
