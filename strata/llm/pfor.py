@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import id_type, ids_and_text, map_arrow, partitions, scratch_path, text_ranges
-from strata.llm.tokenids import default_tokenizer, encoder
+from strata.llm.tokenids import SLICE_CHARS, default_tokenizer, encoder
 
 BLOCK_IDS = 1024
 STRIPE_IDS = 131_072
@@ -170,7 +170,7 @@ def write_token_files(
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = batch.column("doc_id").to_pylist()
-            for lo, hi in text_ranges(texts, 1_000_000):
+            for lo, hi in text_ranges(texts, SLICE_CHARS):
                 for key, encoded in zip(keys[lo:hi], enc.encode(texts[lo:hi]), strict=True):
                     ids.append(key)
                     parts.append(encoded + end)

@@ -1,123 +1,216 @@
 """Token ids of whole texts with a public ``tokenizers`` file.
 
-Text is cut at single spaces after a non-space. A byte-level pre-tokenizer
-never joins characters across such a place, so the ids of a text are the ids
-of its pieces in order, and each distinct piece is encoded once per worker
-(a bounded cache). Texts with a white-space character before a space, a space
-at the end, or the string of an added token go to the tokenizer whole.
+Text is cut at single spaces after a non-space, between a letter and a mark,
+and around a line break between them. A byte-level pre-tokenizer never joins
+characters across such places, so the ids of a text are the ids of its pieces
+in order. Arrow cuts a slice of texts and finds its distinct pieces; each of
+them is looked up once, and all ids are gathered by numpy. A word is learned
+once, whatever marks follow it. What a worker keeps is bounded: of two
+generations of entries the older is dropped when the younger is full, and
+entries used again move to the younger.
+
+Texts with a white-space character before a space, a space at the end, the
+string of an added token, or the characters that mark cuts here go to the
+tokenizer whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from array import array
+from collections.abc import Callable, Iterable
 
-#: Distinct pieces a worker keeps; beyond it the cache starts anew.
-CACHE_PIECES = 600_000
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
+
+from strata.llm.common import text_ranges
+
+#: Entries of a generation of a worker's cache.
+CACHE_PIECES = 200_000
 #: Pieces of more characters are not kept.
 CACHE_PIECE_CHARS = 64
-_BEFORE_SPACE = re.compile(r"\s ")
-_ODD = re.compile(r"\s | \Z")
+#: Fixed value: the byte-level pre-tokenizer's pattern.
+PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Characters of a slice of texts that is encoded at a time.
+SLICE_CHARS = 4_000_000
+#: Before a piece that follows no space, and for a line break on its own.
+BARE, BREAK = "\x01", "\x02"
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: ASCII marks but the apostrophe, which begins pre-tokens with letters.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Beyond these characters Unicode versions may differ on what a letter is.
+_UNSETTLED = regex.compile(r"[^\x00-\u024f]")
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary:
+    printable characters for themselves, the rest in order from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_LETTERS = byte_letters()
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _marked(part: str) -> list[str]:
-    """A word and the mark after it, which are separate before any merge."""
-    return [part[:-1], part[-1]] if part[-1] in ".," and part[:-1].isalpha() else [part]
+def id_bytes(ids: Iterable[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
+def _large(text: str) -> pa.Scalar:
+    return pa.scalar(text, pa.large_string())
+
+
+class Recent:
+    """A bounded cache: two generations, entries in use stay."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get_all(self, keys: list[str]) -> list[bytes | None]:
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        found = list(map(young.get, keys))
+        if old:
+            again = [i for i, v in enumerate(found) if v is None and keys[i] in old]
+            for i in again:
+                found[i] = young[keys[i]] = old[keys[i]]
+        return found
+
+    def put_all(self, keys: list[str], values: list[bytes]) -> None:
+        self.young.update([kv for kv in zip(keys, values, strict=True) if len(kv[0]) <= CACHE_PIECE_CHARS])
+
 
+class SplitEncoder:
+    """Ids of texts from the ids of their pieces.
 
-def _parts(piece: str) -> list[str] | None:
-    """The piece cut at its one line break between two runs without white
-    space, which stands alone."""
-    ends = piece.split("\n")
-    if len(ends) == 2 and all(e and e.split() == [e] for e in ends):
-        return [*_marked(ends[0]), "\n", *_marked(ends[1])]
-    return None
+    ``marks`` are the characters before which a word may be cut, ``breaks``
+    says whether line breaks may be. A subclass encodes pieces (``learn``) and
+    texts that cannot be cut (``whole``, those with a piece that ``odd``)."""
 
+    def __init__(self, marks: str, breaks: bool, added: list[str]):
+        self.added = added
+        self.pieces = Recent(CACHE_PIECES)
+        either = _LETTER + regex.escape(MARKS, special_only=False)
+        self.rules = []
+        if marks:
+            self.rules.append((f"([{_LETTER}])([{regex.escape(marks, special_only=False)}])", f"\\1 {BARE}\\2"))
+        if breaks:
+            self.rules.append((f"([{either}])\n([{either}])", f"\\1 {BREAK} {BARE}\\2"))
 
-class PieceEncoder:
-    def __init__(self, path: str):
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def odd(self, pieces: list[str]) -> np.ndarray:
+        raise NotImplementedError
+
+    def whole(self, text: str) -> bytes:
+        raise NotImplementedError
+
+    def _known(self, keys: list[str]) -> list[bytes]:
+        found = self.pieces.get_all(keys)
+        missing = [i for i, v in enumerate(found) if v is None]
+        if missing:
+            new = [keys[i] for i in missing]
+            values = self.learn(new)
+            self.pieces.put_all(new, values)
+            for i, v in zip(missing, values, strict=True):
+                found[i] = v
+        return found
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and how many each of them has."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        source = pa.array(texts, pa.large_string())
+        uncut = np.zeros(len(texts), bool)
+        for a in (BARE, BREAK, *self.added):
+            uncut |= pc.match_substring(source, a).to_numpy(zero_copy_only=False)
+        if uncut.any():
+            source = pc.if_else(pa.array(uncut), _large(""), source)
+        source = pc.binary_join_element_wise(_large(BARE), source, _large(""))
+        for pattern, replacement in self.rules:
+            source = pc.replace_substring_regex(source, pattern=pattern, replacement=replacement)
+        cut = pc.split_pattern(source, " ")
+        offsets = cut.offsets.to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        code, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        first = offsets[:-1]
+
+        odd = self.odd(words)
+        even = np.flatnonzero(~odd)
+        place = np.zeros(len(words), np.int64)
+        place[even] = np.arange(len(even)) + 1
+        entries = [b"", *self._known([words[i] for i in even.tolist()] if odd.any() else words)]
+        at = place[code]
+        if odd.any():
+            uncut |= np.add.reduceat(odd[code], first, dtype=np.int64) > 0
+        for i in np.flatnonzero(uncut).tolist():
+            at[offsets[i] : offsets[i + 1]] = 0
+            at[offsets[i]] = len(entries)
+            entries.append(self.whole(texts[i]))
+
+        size = np.array(list(map(len, entries)), np.int64) // 4
+        start = np.cumsum(size) - size
+        count = size[at]
+        where = np.repeat(start[at] - (np.cumsum(count) - count), count)
+        where += np.arange(len(where))
+        ids = np.frombuffer(b"".join(entries), np.uint32)[where]
+        return ids, np.add.reduceat(count, first)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        for lo, hi in text_ranges(texts, SLICE_CHARS):
+            ids, counts = self.encode_flat(texts[lo:hi])
+            raw, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+            out += [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
+
+
+class PieceEncoder(SplitEncoder):
+    """A byte-level tokenizer. ``plain``: the strings of added tokens are
+    ordinary text."""
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}  # pieces after a space
-        self.bare: dict[str, bytes] = {}  # pieces after no space
+        self.tok.encode_special_tokens = plain
+        super().__init__(MARKS, True, [] if plain else [t.content for t in self.tok.get_added_tokens_decoder().values()])
 
     def whole(self, text: str) -> bytes:
-        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _encode_new(self, cache: dict[str, bytes], keys: set[str], lead: str) -> None:
-        missing = [k for k in keys if k not in cache]
-        for lo in range(0, len(missing), 10_000):
-            part = missing[lo : lo + 10_000]
-            encoded = self.tok.encode_batch_fast([lead + p for p in part] if lead else part, add_special_tokens=False)
-            cache.update(zip(part, [array("I", e.ids).tobytes() for e in encoded], strict=True))
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Learn pieces as they stand after a space. They are cut further where
-        the pre-tokenizer always cuts, so a word is encoded once with any mark
-        or line break after it. Returns those not worth keeping, or that stand
-        for themselves only at the end of a text."""
-        marked, broken, once = [], [], []
-        words, bare = set(), {".", ",", "\n"}
-        for p in new:
-            if p[-1] in ".," and p[:-1].isalpha():
-                marked.append(p)
-                words.add(p[:-1])
-            elif "\n" in p and (parts := _parts(p)):
-                broken.append((p, parts))
-                words.add(parts[0])
-                bare.update(parts[1:])
-            elif len(p) > CACHE_PIECE_CHARS or p[-1].isspace():
-                once.append(p)
+        return id_bytes(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def odd(self, pieces: list[str]) -> np.ndarray:
+        return np.array([not p or p[-1].isspace() for p in pieces], bool)
+
+    def _merge(self, pre_token: str) -> bytes:
+        return id_bytes([t.id for t in self.tok.model.tokenize(pre_token.encode().decode("latin-1").translate(BYTE_LETTERS))])
+
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        texts = ["\n" if p == BREAK else p[1:] if p[0] == BARE else " " + p for p in pieces]
+        settled = not _UNSETTLED.search("".join(texts))
+        find, merge, out = PRE_TOKENS.findall, self._merge, []
+        for t in texts:
+            if settled or not _UNSETTLED.search(t):
+                cut = find(t)
+                out.append(merge(cut[0]) if len(cut) == 1 else b"".join(map(merge, cut)))
             else:
-                words.add(p)
-        self._encode_new(self.cache, words, " ")
-        self._encode_new(self.bare, bare, "")
-        cache, of = self.cache, self.bare
-        for p in marked:
-            cache[p] = cache[p[:-1]] + of[p[-1]]
-        extra = {p: cache[c[0]] + b"".join([of[x] for x in c[1:]]) for p, c in broken}
-        self._encode_new(extra, set(once), " ")
-        return extra
-
-    def _odd(self, parts: list[str]) -> bool:
-        """Whether a part is empty, ends in white space or holds an added token."""
-        joined = " ".join(parts) + " "
-        return "" in parts or bool(_BEFORE_SPACE.search(joined)) or any(a in joined for a in self.added)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.cache) + len(self.bare) > CACHE_PIECES:
-            self.cache, self.bare = {}, {}
-        cut = [t.split(" ") for t in texts]
-        pieces = set().union(*[c[1:] for c in cut])
-        new = [p for p in pieces if p not in self.cache]
-        firsts = {c[0] for c in cut}
-        whole: set[int] = set()
-        if self._odd(new) or self._odd([f for f in firsts if f]):
-            whole = {i for i, t in enumerate(texts) if _ODD.search(t) or any(a in t for a in self.added)}
-            new = list(set().union(*[c[1:] for i, c in enumerate(cut) if i not in whole]).difference(self.cache))
-        extra = self._learn(new)
-        self._encode_new(self.bare, firsts, "")
-        # Odd and rare pieces are known for this call only.
-        self.cache.update(extra)
-        get, bare = self.cache.__getitem__, self.bare
-        out = [
-            self.whole(t) if i in whole else bare[c[0]] + b"".join(map(get, c[1:]))
-            for i, (t, c) in enumerate(zip(texts, cut, strict=True))
-        ]
-        for p in extra:
-            del self.cache[p]
+                out.append(self.whole(t))
         return out
 
 
