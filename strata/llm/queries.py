@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.ann import op4_nearest
+from strata.llm.crosstoken import op11_token_alignment
 from strata.llm.decontaminate import op1_decontamination
 from strata.llm.htmltext import op12_html_text
 from strata.llm.langid import op2_language_id
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
+    "op11_token_alignment": op11_token_alignment,
     "op12_html_text": op12_html_text,
     "op13_whitening": op13_whitening,
 }
