@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -112,10 +114,19 @@ def map_texts(
                 cols = fn(batch.slice(lo, hi - lo), texts[lo:hi])
                 if cols is not None:
                     yield record_batch(cols, out_schema)
+        trim()
 
     return df.mapInArrow(run, schema)
 
 
+def trim() -> None:
+    """Give memory that a task no longer uses back to the system: idle workers
+    stay, and what they hold would add up over the steps of a session."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not on every system
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` whose function yields dicts of columns."""
     ship(df.sparkSession)
@@ -124,6 +135,7 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in fn(batches):
             yield record_batch(cols, out_schema)
+        trim()
 
     return df.mapInArrow(run, schema)
 

@@ -4,7 +4,7 @@ Both tokenizers run over whole texts first. A byte offset where a token of
 each ends and the next token of each begins with a space is an anchor; anchors
 cut a text into windows of token ids. A window's alignment (groups between
 shared ends, links between overlapping tokens) depends on its two id tuples
-alone, so it is computed once per distinct window and kept.
+alone, so it is computed once for all windows of a chunk with the same tuples.
 
 The count of an id pair is how many documents hold it linked, over the whole
 corpus. Documents are gathered in chunks (slices of whole texts): a chunk sends
@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import id_type, ids_and_text, map_arrow, record_batch, ship, stage, text_ranges
-from strata.llm.tokenids import BARE, BREAK, BYTE_LETTERS, MARKS, SLICE_CHARS, PieceEncoder, Recent, SplitEncoder, default_tokenizer, id_bytes
+from strata.llm.tokenids import BARE, BREAK, BYTE_LETTERS, MARKS, PieceEncoder, Recent, SplitEncoder, default_tokenizer, id_bytes
 
-#: Windows kept by a worker, in each of two generations.
-CACHE_WINDOWS = 150_000
+#: Characters of whole texts in a chunk (a longer text is one of its own).
+CHUNK_CHARS = 2_000_000
+#: Pieces kept by a worker for each tokenizer, in each of two generations.
+CACHE_PIECES = 100_000
 #: Pairs in a row of the staged table.
 PAIRS_A_ROW = 32_768
 _B_IDS = 1 << 31
@@ -112,46 +114,48 @@ def sentence_spelling(encoder: SentenceEncoder) -> Spelling:
     )
 
 
-def align(a: list[int], b: list[int], size_a: np.ndarray, size_b: np.ndarray) -> tuple[str, int, list[int]]:
-    """Groups as text, their number, and the linked pairs (a << 32 | b) of a
-    window whose tokens spell the same bytes."""
-    groups, links = [], []
-    i = j = first_i = first_j = 0
-    end_a, end_b = int(size_a[a[0]]), int(size_b[b[0]])
-    while True:
-        links.append(a[i] << 32 | b[j])
-        order = end_a - end_b
-        if not order:
-            left, right = a[first_i : i + 1], b[first_j : j + 1]
-            groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            first_i, first_j = i + 1, j + 1
-            if first_i == len(a):
-                return ";".join(groups), len(groups), links
-        if order <= 0:
-            i += 1
-            end_a += int(size_a[a[i]])
-        if order >= 0:
-            j += 1
-            end_b += int(size_b[b[j]])
+class Spelled:
+    """Alignments of windows, all of them at once: arrays over their links,
+    and the groups of each as text (every group ended by a semicolon)."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, first_a: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, names: pa.Array):
+        end_a, end_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+        mark = np.zeros(int(end_a[-1]) + 1, np.uint8)
+        mark[end_a] = 1
+        mark[end_b] |= 2
+        # Between two ends of either lies one overlap of two tokens.
+        ends = np.flatnonzero(mark)
+        at_a = np.searchsorted(end_a, ends)
+        self.links = a[at_a].astype(np.int64) << 32 | b[np.searchsorted(end_b, ends)]
+        #: Per window: links and groups up to its end.
+        last = np.r_[first_a[1:], len(a)] - 1
+        self.link_ends = np.searchsorted(ends, end_a[last], "right")
+        shared_a, shared_b = mark[end_a] == 3, mark[end_b] == 3
+        self.group_ends = np.cumsum(shared_a)[last]
+        # Text: a group's tokens of the first, then of the second tokenizer.
+        group_a, group_b = np.cumsum(shared_a) - shared_a, np.cumsum(shared_b) - shared_b
+        n_a, n_b = np.bincount(group_a), np.bincount(group_b)
+        before_a, before_b = np.cumsum(n_a), np.cumsum(n_b) - n_b
+        which = np.empty(len(a) + len(b), np.int64)
+        which[np.arange(len(a)) + before_b[group_a]] = 2 * a.astype(np.int64) + shared_a
+        which[np.arange(len(b)) + before_a[group_b]] = 2 * (len(size_a) + b.astype(np.int64)) + shared_b
+        words = names.take(pa.array(which))
+        stops = np.frombuffer(words.buffers()[1], np.int64, len(which) + 1)
+        tokens = (before_a[self.group_ends - 1] + np.cumsum(n_b)[self.group_ends - 1]).astype(np.int64)
+        starts = pa.py_buffer(np.r_[0, stops[tokens]].astype(np.int64))
+        self.text = pa.Array.from_buffers(pa.large_binary(), len(last), [None, starts, words.buffers()[2]])
 
 
 class Aligner:
-    """Both tokenizers and the windows known so far, one per worker."""
+    """Both tokenizers and the spelling of their ids, one per worker."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = PieceEncoder(path_a, plain=True), SentenceEncoder(path_b)
+        self.a.pieces, self.b.pieces = Recent(CACHE_PIECES), Recent(CACHE_PIECES)
         self.spell_a, self.spell_b = byte_level_spelling(self.a), sentence_spelling(self.b)
-        self.known = Recent(CACHE_WINDOWS)
-
-    def _windows(self, keys: list[bytes]) -> list[tuple[str, int, list[int]]]:
-        found = self.known.get_all(keys)
-        for i, v in enumerate(found):
-            if v is None:
-                ids = np.frombuffer(keys[i], np.uint32)
-                n = int(np.searchsorted(ids >= _B_IDS, True))
-                v = align(ids[:n].tolist(), (ids[n:] - np.uint32(_B_IDS)).tolist(), self.spell_a.size, self.spell_b.size)
-                found[i] = self.known.young[keys[i]] = v
-        return found
+        n_a, n_b = len(self.spell_a.size), len(self.spell_b.size)
+        names = [f"{i}{c}".encode() for n, marks in ((n_a, ",|"), (n_b, ",;")) for i in range(n) for c in marks]
+        self.names = pa.array(names, pa.large_binary())
 
     def chunk(self, texts: list[str]) -> tuple[dict, dict]:
         """Of whole texts: what each of them holds, and what they share.
@@ -171,6 +175,7 @@ class Aligner:
             ids_a, ids_b = ids_a[np.repeat(good, count_a)], ids_b[np.repeat(good, count_b)]
             count_a, count_b = count_a * good, count_b * good
         doc_end = np.cumsum(np.array(list(map(len, raw)), np.int64) * good)
+        del source, raw
         if not len(ids_a):
             zero = np.zeros(n, np.int64)
             empty = [[] for _ in range(n)]
@@ -183,37 +188,39 @@ class Aligner:
         mark[end_a[np.r_[self.spell_a.spaced[ids_a[1:]], True]]] = 1
         mark[end_b[np.r_[self.spell_b.spaced[ids_b[1:]], True]]] |= 2
         cut_a, cut_b = np.flatnonzero(mark[end_a] == 3) + 1, np.flatnonzero(mark[end_b] == 3) + 1
-        ends = end_a[cut_a - 1]
+        doc = np.searchsorted(doc_end, end_a[cut_a - 1])
+        del end_a, end_b, mark
         # A window's key: its ids of the first, then of the second tokenizer.
+        # Equal windows are aligned once.
         per_a, per_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
         both = np.empty(len(ids_a) + len(ids_b), np.uint32)
         both[np.arange(len(ids_a)) + np.repeat(cut_b - per_b, per_a)] = ids_a
         both[np.arange(len(ids_b)) + np.repeat(cut_a, per_b)] = ids_b + np.uint32(_B_IDS)
         offsets = np.r_[0, 4 * (cut_a + cut_b)].astype(np.int64)
-        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(both)]
-        coded = pa.Array.from_buffers(pa.large_binary(), len(ends), buffers).dictionary_encode()
-        window = coded.indices.to_numpy().astype(np.int64)
-        known = self._windows(coded.dictionary.to_pylist())
-
-        doc = np.searchsorted(doc_end, ends)
-        name = [w[0] for w in known]
-        groups = np.array([w[1] for w in known], np.int64)
-        n_links = np.array([len(w[2]) for w in known], np.int64)
-        flat = np.array([p for w in known for p in w[2]], np.int64)
-        pairs, links = np.unique(flat, return_inverse=True)
-        last = np.cumsum(n_links)
-
+        coded = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(offsets), pa.py_buffer(both)]).dictionary_encode()
+        window, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        del both, offsets, coded, ids_a, ids_b
+        n_windows = len(distinct)
+        ids = np.frombuffer(distinct.buffers()[2], np.uint32)
+        starts = np.frombuffer(distinct.buffers()[1], np.int64, n_windows + 1) // 4
+        ids = ids[: starts[-1]]
+        second = ids >= _B_IDS
+        first_a = starts[:-1] - np.r_[0, np.cumsum(second)][starts[:-1]]
+        known = Spelled(ids[~second], ids[second] - np.uint32(_B_IDS), first_a, self.spell_a.size, self.spell_b.size, self.names)
+        n_links = np.diff(known.link_ends, prepend=0)
+        groups = np.diff(known.group_ends, prepend=0)
+        pairs, links = np.unique(known.links, return_inverse=True)
+
+        text = known.text.take(pa.array(window))
+        stops = np.frombuffer(text.buffers()[1], np.int64, len(window) + 1)
+        spelled = memoryview(text.buffers()[2])
         first = np.searchsorted(doc, np.arange(n + 1))
-        hashes, listed = [""] * n, window.tolist()
-        for i in np.flatnonzero(good).tolist():
-            hashes[i] = hashlib.sha256(";".join([name[w] for w in listed[first[i] : first[i + 1]]]).encode()).hexdigest()
+        bounds = stops[first].tolist()
+        hashes = [hashlib.sha256(spelled[a : b - 1]).hexdigest() if ok else "" for ok, a, b in zip(good.tolist(), bounds, bounds[1:], strict=False)]
+        del text, stops, spelled
         # Distinct windows of each text, then its distinct pairs.
-        cell, times = np.unique(doc * len(known) + window, return_counts=True)
-        doc_of, window_of = cell // len(known), cell % len(known)
-        size = n_links[window_of]
-        where = np.repeat(last[window_of] - n_links[window_of] - (np.cumsum(size) - size), size)
-        where += np.arange(len(where))
-        held = np.unique(np.repeat(doc_of, size) * len(pairs) + links[where]) % len(pairs)
+        cell, times = np.unique(doc * n_windows + window, return_counts=True)
+        doc_of, window_of = cell // n_windows, cell % n_windows
         at = np.searchsorted(doc_of, np.arange(1, n))
         own = {
             "n_a": count_a,
@@ -224,7 +231,12 @@ class Aligner:
             "windows": np.split(window_of.astype(np.int32), at),
             "times": np.split(times.astype(np.int32), at),
         }
-        return own, {"pairs": pairs, "docs": np.bincount(held, minlength=len(pairs)), "links": links.astype(np.int32), "ends": last}
+        size = n_links[window_of]
+        where = np.repeat(known.link_ends[window_of] - n_links[window_of] - (np.cumsum(size) - size), size)
+        where += np.arange(len(where))
+        held = np.unique(np.repeat(doc_of, size) * len(pairs) + links[where]) % len(pairs)
+        docs = np.bincount(held, minlength=len(pairs))
+        return own, {"pairs": pairs, "docs": docs, "links": links.astype(np.int32), "ends": known.link_ends}
 
     @staticmethod
     def _spelled(raw: list[bytes], ids: np.ndarray, counts: np.ndarray, spelling: Spelling) -> np.ndarray:
@@ -260,7 +272,7 @@ def _chunks(docs: DataFrame, path_a: str, path_b: str, kind: str) -> DataFrame:
         work = aligner(path_a, path_b)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lo, hi in text_ranges(texts, SLICE_CHARS):
+            for lo, hi in text_ranges(texts, CHUNK_CHARS):
                 own, shared = work.chunk(texts[lo:hi])
                 yield rows(hi - lo, chunk=[chunk] * (hi - lo), doc_id=batch.column("doc_id").slice(lo, hi - lo), **own)
                 yield rows(1, chunk=[chunk], links=[shared["links"]], ends=[shared["ends"]])

@@ -28,7 +28,7 @@ import regex
 from strata.llm.common import text_ranges
 
 #: Entries of a generation of a worker's cache.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 150_000
 #: Pieces of more characters are not kept.
 CACHE_PIECE_CHARS = 64
 #: Fixed value: the byte-level pre-tokenizer's pattern.

@@ -85,16 +85,16 @@ def row(r):
     return (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256)
 
 
-@pytest.mark.parametrize("slice_chars", [60, 4_000_000])
-def test_alignment_equals_the_plain_way(spark, corpus, none, monkeypatch, slice_chars):
-    monkeypatch.setattr(crosstoken, "SLICE_CHARS", slice_chars)
+@pytest.mark.parametrize("chunk_chars", [60, 2_000_000])
+def test_alignment_equals_the_plain_way(spark, corpus, none, monkeypatch, chunk_chars):
+    monkeypatch.setattr(crosstoken, "CHUNK_CHARS", chunk_chars)
     odd = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(texts_of(150, 8))], "doc_id long, text string")
     docs = corpus.unionByName(odd, allowMissingColumns=True).repartition(3)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     want = Counter((d, *w) for (d, _), w in zip(rows, plain([t for _, t in rows]), strict=True))
     got = crosstoken.align_tokenizers(docs).collect()
     assert Counter((r.doc_id, *row(r)) for r in got) == want
-    if slice_chars > 60:
+    if chunk_chars > 60:
         assert crosstoken.align_tokenizers(none).collect() == []
 
 
