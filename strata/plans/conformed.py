@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LakeConfig, join_path
-from ..functions.keys import partition_day, with_audit_columns, with_partition_day, with_row_hash
+from ..functions.keys import HASH_COL, partition_day, with_audit_columns, with_partition_day, with_row_hash
 from ..functions.names import clean_columns
 from ..operators.increment import (
     MAX_PRUNE_VALUES,
@@ -54,13 +54,23 @@ def conformed_batch(raw: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFram
     a hash input, in which case the hash must see the raw text and is taken
     first. The audit columns are constants and come last.
     """
+    return finished_rows(normalised_rows(raw, spec), spec, load_ts)
+
+
+def normalised_rows(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Clean names and the partition day, row by row. The hash is taken here
+    only if it needs the raw text of the partition column."""
     df = spelled(clean_columns(raw), spec.partition_key)
     keys = [_resolve(df, k) for k in spec.hash_keys]
     part = _resolve(df, spec.partition_key)
-    if part in keys:
-        df = with_partition_day(with_row_hash(df, keys), part).distinct()
-    else:
-        df = with_row_hash(with_partition_day(df, part).distinct(), keys)
+    return with_partition_day(with_row_hash(df, keys) if part in keys else df, part)
+
+
+def finished_rows(rows: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFrame:
+    """Distinct normalised rows with hash and audit columns."""
+    df = rows.distinct()
+    if HASH_COL not in df.columns:
+        df = with_row_hash(df, [_resolve(df, k) for k in spec.hash_keys])
     return with_audit_columns(df, load_ts)
 
 
@@ -103,6 +113,40 @@ def conformed_table(cfg: LakeConfig, target: Target, spec: DatasetSpec) -> Layer
     )
 
 
+def append_new(
+    spark: SparkSession,
+    cfg: LakeConfig,
+    lt: LayerTable,
+    target: Target,
+    stored: DataFrame,
+    new: DataFrame,
+    rows: int,
+    days: list | None,
+    touched: list | None,
+    died: bool,
+) -> str | None:
+    """Back up what is stored (A7), then append ``new`` (A6), unless there are
+    no ``rows``. ``touched`` are the days that receive rows. Returns the backup."""
+    part, backup = lt.partition_col, None
+    if rows > 0:
+        if cfg.backup_scope == "table":
+            before = stored
+        elif touched is not None:
+            before = prune_to_values(stored, part, touched)
+        else:  # too many days to list: semi-join on the new rows' days
+            before = prune_to_batch(stored, new, part)
+        backup = snapshot_layer(
+            before, join_path(cfg.backup, target.subpath), part, cfg.fmt, keep_if_empty=cfg.backup_scope != "table"
+        )
+        begin_append(spark, lt.db, lt.table, days)
+        save_to_layer(spark, lt, new, touched, mode="append")
+    elif died:  # the rows it left are new to every target
+        begin_append(spark, lt.db, lt.table, None)
+    if died or rows > 0:
+        end_append(spark, lt.db, lt.table)
+    return backup
+
+
 def load_conformed(
     spark: SparkSession,
     cfg: LakeConfig,
@@ -154,22 +198,7 @@ def load_conformed(
         else:
             result.new, touched = new.count(), None
         result.incoming = int(seen.get["rows"])
-        if result.new > 0:
-            if cfg.backup_scope == "table":
-                before = stored
-            elif touched is not None:
-                before = prune_to_values(stored, part, touched)
-            else:  # too many days to list: semi-join on the new rows' days
-                before = prune_to_batch(stored, new, part)
-            result.backup = snapshot_layer(  # A7
-                before, join_path(cfg.backup, target.subpath), part, cfg.fmt, keep_if_empty=cfg.backup_scope != "table"
-            )
-            begin_append(spark, lt.db, lt.table, days)
-            save_to_layer(spark, lt, new, touched, mode="append")  # A6
-        elif died:  # the rows it left are new to every target
-            begin_append(spark, lt.db, lt.table, None)
-        if died or result.new > 0:
-            end_append(spark, lt.db, lt.table)
+        result.backup = append_new(spark, cfg, lt, target, stored, new, result.new, days, touched, died)
     finally:
         new.unpersist()
     if cfg.full_counts:

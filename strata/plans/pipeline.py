@@ -6,10 +6,11 @@ loads need one routed row per file on the driver, and those are streamed in
 (dataset, file name) order with ``toLocalIterator``, so the driver holds one
 dataset's files at a time rather than the whole listing.
 
-One file at a time is the semantics: which of several same-key rows survive
-depends on the order in which files arrive. Files of different datasets are
-independent and can run concurrently (``parallel_datasets``), each dataset's
-files still in order.
+Which of several same-key rows survive depends on the order in which files
+arrive, and the result is always that of one file after another; several files
+of a dataset are loaded at once all the same (``plans/files.py``). Files of
+different datasets are independent and can run concurrently
+(``parallel_datasets``), each dataset's files still in order.
 """
 
 from __future__ import annotations
@@ -22,10 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LakeConfig
+from ..operators.fold import MAX_FOLD_FILES
 from ..operators.routing import route
+from ..operators.spec import DatasetSpec
 from ..sources.archive import archive_files
 from ..sources.files import check_format, list_files
-from .conformed import load_conformed
+from ..sources.layers import open_layer
+from .conformed import conformed_table, load_conformed
+from .files import load_files_at_once
 from .metadata import business_table, spec_for
 from .target import LoadResult, Target
 from .typed import load_enriched, load_sandbox
@@ -62,28 +67,50 @@ def load_dataset_files(
     targets: list[Target],
     load_ts=None,
 ) -> list[LoadResult]:
-    """Every layer for the files of one dataset, in file-name order."""
+    """Every layer for the files of one dataset, in file-name order.
+
+    Files that share their targets are loaded ``cfg.fold_files`` at a time
+    with the result of one after another; the file that creates the conformed
+    layer goes alone."""
     results: list[LoadResult] = []
     if not targets:
         return results
     for t in targets:
         check_format(t.path)  # A2: fail before anything of the dataset loads
     spec = spec_for(spark, cfg, targets[0].dataset)
-    for t in sorted(targets, key=lambda t: t.name):
-        days = None
-        if t.runs("conformed_layer"):
-            res = load_conformed(spark, cfg, t, spec, load_ts)
-            results.append(res)
-            days = res.partitions
-        if t.runs("enrich_layer"):
-            res = load_enriched(spark, cfg, t, spec, days)
-            results.append(res)
-            if t.runs("edw_layer"):
-                results.append(load_warehouse(spark, cfg, t, spec, res.partitions))
-        elif t.runs("edw_layer"):
-            results.append(load_warehouse(spark, cfg, t, spec, None))
-        if t.runs("sandbox_layer"):
-            results.append(load_sandbox(spark, cfg, t, spec, days))
+    waiting = sorted(targets, key=lambda t: t.name)
+    at_once = min(cfg.fold_files, MAX_FOLD_FILES)
+    while waiting:
+        t = waiting[0]
+        n = 1
+        while n < min(at_once, len(waiting)) and waiting[n].same_targets(t):
+            n += 1
+        if n > 1 and t.runs("conformed_layer") and open_layer(spark, conformed_table(cfg, t, spec)) is not None:
+            results += load_files_at_once(spark, cfg, waiting[:n], spec, load_ts)
+        else:
+            n = 1
+            results += load_one_file(spark, cfg, t, spec, load_ts)
+        del waiting[:n]
+    return results
+
+
+def load_one_file(spark: SparkSession, cfg: LakeConfig, t: Target, spec: DatasetSpec, load_ts=None) -> list[LoadResult]:
+    """Every flagged layer for one file."""
+    results: list[LoadResult] = []
+    days = None
+    if t.runs("conformed_layer"):
+        res = load_conformed(spark, cfg, t, spec, load_ts)
+        results.append(res)
+        days = res.partitions
+    if t.runs("enrich_layer"):
+        res = load_enriched(spark, cfg, t, spec, days)
+        results.append(res)
+        if t.runs("edw_layer"):
+            results.append(load_warehouse(spark, cfg, t, spec, res.partitions))
+    elif t.runs("edw_layer"):
+        results.append(load_warehouse(spark, cfg, t, spec, None))
+    if t.runs("sandbox_layer"):
+        results.append(load_sandbox(spark, cfg, t, spec, days))
     return results
 
 

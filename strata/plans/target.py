@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 
 @dataclass(frozen=True)
@@ -58,6 +58,10 @@ class Target:
     def staging_schema(self) -> str:
         return f"staging_{self.warehouse_db}"
 
+    def same_targets(self, other: "Target") -> bool:
+        """Whether both files go to the same layers and tables."""
+        return replace(self, path=other.path, name=other.name) == other
+
     def runs(self, flag: str) -> bool:
         """Business flags must be exactly ``Y``."""
         return self.flags.get(flag) == "Y"

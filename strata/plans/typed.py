@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..config import LakeConfig
 from ..functions.keys import HASH_COL
+from ..operators.fold import keys_besides, later_entries, without_later
 from ..operators.increment import (
     anti_join_new,
     count_with_values,
@@ -93,7 +94,11 @@ def load_typed_layer(
     target: Target,
     spec: DatasetSpec,
     partitions: list | None = None,
+    entered: DataFrame | None = None,
 ) -> LoadResult:
+    """``entered``: key, day and file of the rows that several files loaded at
+    once gave the conformed layer; the layer ends up as if it had been loaded
+    after each of them."""
     src = conformed_table(cfg, target, spec)
     dst = typed_table(cfg, layer, target, spec)
     result = LoadResult(layer, dst.path)
@@ -104,17 +109,24 @@ def load_typed_layer(
         result.notes.append("no conformed layer")
         return result
     version = source_version(spark, src.db, src.table)
-    if (
+    cut = (
         partitions is not None
         and open_layer(spark, dst) is not None
         and rest_taken(spark, (src.db, src.table), (dst.db, dst.table), partitions)
-    ):
+    )
+    whole = conformed
+    if cut:
         if not partitions:
             result.notes.append("no partitions to load")
             result.partitions = []
             result.incoming = result.new = 0
             return result
         conformed = prune_to_values(conformed, part, partitions)
+    if entered is not None:
+        # Keys stored before the files are all in a target that has the rest.
+        later = later_entries(entered, part, None if cut else keys_besides(whole, entered, part))
+        if not later.isEmpty():
+            conformed = without_later(conformed, later, part)
     batch = typed_batch(conformed, spec)
     # One pass over the conformed partition column (no data columns): the
     # days the batch really holds and its row count. The days are turned
@@ -177,9 +189,9 @@ def load_typed_layer(
     return result
 
 
-def load_enriched(spark, cfg, target, spec, partitions=None) -> LoadResult:
-    return load_typed_layer(spark, cfg, "enriched", target, spec, partitions)
+def load_enriched(spark, cfg, target, spec, partitions=None, entered=None) -> LoadResult:
+    return load_typed_layer(spark, cfg, "enriched", target, spec, partitions, entered)
 
 
-def load_sandbox(spark, cfg, target, spec, partitions=None) -> LoadResult:
-    return load_typed_layer(spark, cfg, "sandbox", target, spec, partitions)
+def load_sandbox(spark, cfg, target, spec, partitions=None, entered=None) -> LoadResult:
+    return load_typed_layer(spark, cfg, "sandbox", target, spec, partitions, entered)

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.keys import with_partition_day
 from .functions.names import clean_columns, clean_name_expr
+from .operators.fold import FILE_COL, fold_new_rows
 from .operators.increment import (
     anti_join_new,
     hot_keys,
@@ -66,6 +68,22 @@ LINEITEM = _spec(
         ("l_shipdate", "11", "date", "date", "N", "y", "N"),
     ],
 )
+ORDERS_BY_CUSTOMER = _spec(
+    "orders_feed",
+    [
+        ("o_custkey", "1", "bigint", "bigint", "Y", "N", "Y"),
+        ("o_orderdate", "2", "date", "date", "N", "Y", "N"),
+    ],
+)
+# First and last day of six overlapping deliveries, which hold every order.
+SIX_FILES = [
+    ("1900-01-01", "1996-03-31"),
+    ("1995-10-01", "1997-06-30"),
+    ("1995-06-01", "1996-12-31"),
+    ("1997-01-01", "1999-03-31"),
+    ("1998-06-01", "2000-06-30"),
+    ("1999-10-01", "2100-12-31"),
+]
 EVENTS = _spec(
     "events_feed",
     [
@@ -186,6 +204,23 @@ def new_events_hot_keys(spark, sf_dir):
     return new_lake_rows(batch, stored, "ts", hot=hot)
 
 
+def _by_customer(spark, sf_dir):
+    """Orders keyed by customer, whose key comes back on many days."""
+    return conformed_batch(_table(spark, sf_dir, "orders"), ORDERS_BY_CUSTOMER, LOAD_TS)
+
+
+def orders_six_files(spark, sf_dir):
+    """K5 / K9: six overlapping files of orders loaded at once, with the rows
+    of loading them one after another (each row with its file)."""
+    rows = _by_customer(spark, sf_dir)
+    files = [
+        rows.filter(F.col("o_orderdate").between(first, last)).withColumn(FILE_COL, F.lit(i))
+        for i, (first, last) in enumerate(SIX_FILES)
+    ]
+    batch = reduce(DataFrame.unionByName, files)
+    return fold_new_rows(batch, None, "o_orderdate").withColumnRenamed(FILE_COL, "file")
+
+
 def load_counts_orders(spark, sf_dir):
     """existing, incoming, new and after-load row counts."""
     stored, batch = _orders_split(spark, sf_dir)
@@ -283,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_lineitem": new_lineitem,
     "new_events": new_events,
     "new_events_hot_keys": new_events_hot_keys,
+    "orders_six_files": orders_six_files,
     "load_counts_orders": load_counts_orders,
     "typed_new_orders": typed_new_orders,
     "new_orders_warehouse": new_orders_warehouse,
@@ -441,6 +477,17 @@ FROM pages p JOIN meta m
   ON lower(replace(p.url, '__', '_')) LIKE '%' || lower(trim(m.dataset)) || '%'""",
 }
 
+# A chain of six loads, each against what is there by then.
+_CONF_BY_CUSTOMER = _CONF_ORDERS.replace(_hash("o_orderkey", "o_custkey", "o_orderstatus"), _hash("o_custkey"))
+_chain = [f"WITH conf AS ({_CONF_BY_CUSTOMER})", "s0 AS (SELECT *, -1 AS file FROM conf WHERE false)"]
+for _i, (_first, _last) in enumerate(SIX_FILES):
+    _chain.append(f"f{_i} AS (SELECT *, {_i} AS file FROM conf WHERE o_orderdate BETWEEN '{_first}' AND '{_last}')")
+    _chain.append(
+        f"""s{_i + 1} AS (SELECT * FROM s{_i} UNION ALL SELECT * FROM f{_i} WHERE calhashkey NOT IN (
+  SELECT s.calhashkey FROM s{_i} s WHERE s.o_orderdate IN (SELECT o_orderdate FROM f{_i})))"""
+    )
+ORACLE_SQL["orders_six_files"] = ",\n".join(_chain) + f"\nSELECT * FROM s{len(SIX_FILES)}"
+
 ORACLE_SQL["new_events_hot_keys"] = ORACLE_SQL["new_events"]
 
 ORACLE_SQL["new_lineitem"] = (
