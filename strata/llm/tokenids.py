@@ -28,7 +28,7 @@ import regex
 from strata.llm.common import text_ranges
 
 #: Entries of a generation of a worker's cache.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 200_000
 #: Pieces of more characters are not kept.
 CACHE_PIECE_CHARS = 64
 #: Fixed value: the byte-level pre-tokenizer's pattern.
@@ -190,6 +190,7 @@ class PieceEncoder(SplitEncoder):
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = plain
+        self.packed = [id_bytes([i]) for i in range(self.tok.get_vocab_size())]
         super().__init__(MARKS, True, [] if plain else [t.content for t in self.tok.get_added_tokens_decoder().values()])
 
     def whole(self, text: str) -> bytes:
@@ -198,17 +199,17 @@ class PieceEncoder(SplitEncoder):
     def odd(self, pieces: list[str]) -> np.ndarray:
         return np.array([not p or p[-1].isspace() for p in pieces], bool)
 
-    def _merge(self, pre_token: str) -> bytes:
-        return id_bytes([t.id for t in self.tok.model.tokenize(pre_token.encode().decode("latin-1").translate(BYTE_LETTERS))])
-
     def learn(self, pieces: list[str]) -> list[bytes]:
         texts = ["\n" if p == BREAK else p[1:] if p[0] == BARE else " " + p for p in pieces]
         settled = not _UNSETTLED.search("".join(texts))
-        find, merge, out = PRE_TOKENS.findall, self._merge, []
-        for t in texts:
-            if settled or not _UNSETTLED.search(t):
-                cut = find(t)
-                out.append(merge(cut[0]) if len(cut) == 1 else b"".join(map(merge, cut)))
+        find, merge, letters, packed = PRE_TOKENS.findall, self.tok.model.tokenize, BYTE_LETTERS, self.packed
+        space, out = letters[ord(" ")], []
+        for p, t in zip(pieces, texts, strict=True):
+            if p.isascii() and p.isalpha():  # one pre-token, its letters stand for themselves
+                out.append(b"".join([packed[x.id] for x in merge(space + p)]))
+            elif settled or not _UNSETTLED.search(t):
+                bytes_of = [c.encode().decode("latin-1").translate(letters) for c in find(t)]
+                out.append(b"".join([packed[x.id] for c in bytes_of for x in merge(c)]))
             else:
                 out.append(self.whole(t))
         return out
