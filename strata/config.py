@@ -44,6 +44,11 @@ class LakeConfig:
     # Keys with more rows than this in one batch are settled outside the
     # anti-join's shuffle (see operators.increment.hot_keys). None: off.
     hot_key_rows: int | None = 1_000_000
+    # Keep a bucketed index of the row hashes of the typed layers and the
+    # warehouse tables (sources.keyindex), with so many buckets (None: as many
+    # as shuffle partitions when it is built).
+    key_index: bool = True
+    key_buckets: int | None = None
     # Files of one dataset that are loaded at once, exactly as one after another
     # (see operators.fold; at most MAX_FOLD_FILES). 1: one at a time.
     fold_files: int = 62

@@ -146,16 +146,21 @@ def hot_keys(
 
 
 def anti_join_new(
-    batch: DataFrame, stored: DataFrame, key: str = HASH_COL, hot: list | None = None
+    batch: DataFrame,
+    stored: DataFrame,
+    key: str = HASH_COL,
+    hot: list | None = None,
+    distinct_stored: bool = True,
 ) -> DataFrame:
     """Batch rows whose key is not among the stored keys.
+    ``distinct_stored=False``: the stored side holds each key once already.
 
     Keeps the batch's column order. ``hot`` lists keys that carry a large
     share of the batch: they are settled by a lookup of those few keys on the
     stored side and a static predicate, while their rows are spread over the
     shuffle by a salted join key, so no task receives all of a hot key's rows.
     """
-    keys = stored_keys(stored, key)
+    keys = stored_keys(stored, key) if distinct_stored else stored.select(F.col(key).alias(_STORED_KEY))
     if not hot:
         return batch.join(keys, F.col(key) == F.col(_STORED_KEY), "left_anti")
     is_hot = F.col(key).isin(hot)

@@ -33,6 +33,9 @@ from ..operators.increment import (
 )
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
+from ..session import ensure_checkpoint_dir
+from ..sources.catalog import LOGGED_FORMATS
+from ..sources.keyindex import SUFFIX, KeyIndex, new_by_index
 from ..sources.layers import LayerTable, heal_partitions, open_layer, save_to_layer, try_read_layer
 from ..sources.taken import append_unfinished, begin_append, end_append, rest_taken, set_taken, source_version
 from .conformed import conformed_table
@@ -64,6 +67,12 @@ def typed_table(cfg: LakeConfig, layer: str, target: Target, spec: DatasetSpec)
     )
 
 
+def layer_index(spark: SparkSession, cfg: LakeConfig, lt: LayerTable) -> KeyIndex | None:
+    if not cfg.key_index or lt.fmt in LOGGED_FORMATS:
+        return None
+    return KeyIndex(spark, lt.db, lt.table + SUFFIX, lt.path.rstrip("/") + SUFFIX, cfg.key_buckets)
+
+
 def typed_partition_texts(spark: SparkSession, values: list, dtype: str | None) -> list:
     """Conformed partition texts -> the text form of the lake-typed value.
 
@@ -153,6 +162,9 @@ def load_typed_layer(
             spark, dst, batch.observe(seen, F.count(F.lit(1)).alias("rows")), days, mode="errorifexists"
         )
         end_append(spark, dst.db, dst.table)
+        index = layer_index(spark, cfg, dst)
+        if index is not None:
+            index.build(spark.table(dst.name), source_version(spark, dst.db, dst.table))
         set_taken(spark, (dst.db, dst.table), version)
         result.created, result.existing = True, 0
         result.incoming = result.new = result.after = int(seen.get["rows"])
@@ -168,19 +180,31 @@ def load_typed_layer(
     # The stored side is the target's whole (de-duplicated) hash column: the
     # target is compared against every conformed day, and its days are a
     # subset of those, so no partition of it can be skipped.
-    new = anti_join_new(batch, stored, HASH_COL, hot).persist(StorageLevel.MEMORY_AND_DISK)
+    # Its hashes lie in the key index.
+    index, keys = layer_index(spark, cfg, dst), None
+    present = source_version(spark, dst.db, dst.table)
+    if index is not None and present:
+        keys = index.keys(present)
+        keys = index.build(stored, present) if keys is None else keys
+    new = anti_join_new(batch, stored, HASH_COL, hot) if keys is None else new_by_index(batch, keys, HASH_COL, hot)
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if days is not None:
             result.new, touched = count_with_values(new, part)
         else:
             result.new, touched = new.count(), None
         if result.new > 0:
+            if keys is not None:
+                ensure_checkpoint_dir(spark)
+                keys = new.select(HASH_COL).checkpoint()
             begin_append(spark, dst.db, dst.table, days)
             save_to_layer(spark, dst, new, touched, mode="append")
         elif died:  # the rows it left are new to the warehouse
             begin_append(spark, dst.db, dst.table, None)
         if died or result.new > 0:
             end_append(spark, dst.db, dst.table)
+        if result.new > 0 and keys is not None:
+            index.append(keys, source_version(spark, dst.db, dst.table))
     finally:
         new.unpersist()
     set_taken(spark, (dst.db, dst.table), version)

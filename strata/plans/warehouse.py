@@ -3,22 +3,23 @@
 Declared columns are cast to their warehouse types (C8, with ``varchar(n)``
 truncation), undeclared ones pass through (C9). When the target exists, the
 rows whose hash it already holds are removed with an equi anti-join against
-the target's distinct hash column (E2); the rest are staged (A13) and
+the target's key index (E2); the rest are staged (A13) and
 inserted with a ``DISTINCT`` by column name (A14), sorted within files by
 the cluster column, descending (H2).
 """
 
 from __future__ import annotations
 
-from ..config import LakeConfig
+from ..config import LakeConfig, join_path
 from ..functions.keys import HASH_COL
 from ..operators.increment import hot_keys, new_warehouse_rows, prune_to_values
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
 from ..sources.catalog import create_table, ensure_database, ensure_view, table_exists
+from ..sources.keyindex import SUFFIX, KeyIndex, new_by_index
 from ..sources.layers import open_layer
 from ..sources.warehouse import insert_from_staging, read_warehouse, write_staging
-from ..sources.taken import rest_taken, set_taken, source_version
+from ..sources.taken import begin_append, end_append, rest_taken, set_taken, source_version
 from .target import LoadResult, Target
 from .typed import typed_table
 
@@ -54,6 +55,10 @@ def load_warehouse(
 
     ensure_database(spark, schema)  # B3
     ensure_database(spark, staging)
+    index, present = None, ""
+    if cfg.key_index:
+        folder = join_path(cfg.enriched, target.subpath) + f"__{schema}_{table}{SUFFIX}"
+        index = KeyIndex(spark, staging, table + SUFFIX, folder, cfg.key_buckets)
     if table_exists(spark, schema, table):  # B4
         stored = read_warehouse(spark, schema, table)  # A12
         if cfg.full_counts:
@@ -62,13 +67,26 @@ def load_warehouse(
         # No key can pass the threshold unless the whole batch does.
         if cfg.hot_key_rows is not None and result.incoming > cfg.hot_key_rows:
             hot = hot_keys(src.select(HASH_COL), min_rows=cfg.hot_key_rows, rows=result.incoming) or None
-        new = new_warehouse_rows(typed, stored, hot=hot)  # E2
+        keys = None
+        present = source_version(spark, schema, table)
+        if index is not None and present:
+            keys = index.keys(present)
+            keys = index.build(stored, present) if keys is None else keys
+        new = new_warehouse_rows(typed, stored, hot=hot) if keys is None else new_by_index(typed, keys, hot=hot)  # E2
     else:
         create_table(spark, schema, table, spec.warehouse_ddl_columns())  # B5, C10
         result.created, result.existing = True, 0
         new = typed
     write_staging(new, staging, table)  # A13
+    begin_append(spark, schema, table, None)
     result.new = insert_from_staging(spark, staging, schema, table, spec.cluster_keys)  # A14
+    end_append(spark, schema, table)
+    if index is not None:
+        now = source_version(spark, schema, table)
+        if present:
+            index.append(read_warehouse(spark, staging, table), now)
+        else:
+            index.build(read_warehouse(spark, schema, table), now)
     set_taken(spark, (schema, table), version)
     if result.existing is not None:
         result.after = result.existing + result.new

@@ -10,6 +10,7 @@ configuration tables and are given inline, as a user would write them.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -32,6 +33,8 @@ from .operators.routing import BUSINESS_COLUMNS, route
 from .operators.spec import specs_from_rows
 from .plans.conformed import conformed_batch
 from .plans.typed import typed_after_load, typed_batch
+from .session import ensure_checkpoint_dir
+from .sources.keyindex import KeyIndex, new_by_index
 
 # The load time used by every checked query.
 LOAD_TS = _dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -243,6 +246,22 @@ def new_orders_warehouse(spark, sf_dir):
     return anti_join_new(typed, stored)
 
 
+def new_orders_key_index(spark, sf_dir):
+    """E2 / K8 through a key index: the stored hashes lie in a bucketed table,
+    built by a first load and extended by a second; a third load's batch is
+    the only side that moves."""
+    conformed = conformed_batch(_table(spark, sf_dir, "orders"), ORDERS, LOAD_TS)
+    typed = typed_projection(typed_projection(conformed, ORDERS, "lake"), ORDERS, "sql")
+    run = uuid.uuid4().hex
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/keys-{run}"
+    index = KeyIndex(spark, "strata_rows", f"orders_keys_{run}", folder, buckets=16)
+    day = F.col("o_orderdate")
+    index.build(typed.filter(day < F.lit("1998-01-01").cast("date")), "first")
+    second = typed.filter(day.between(F.lit("1998-01-01").cast("date"), F.lit("1999-12-31").cast("date")))
+    index.append(second, "second")
+    return new_by_index(typed, index.keys("second"))
+
+
 def late_enabled_layer(spark, sf_dir):
     """K6 on a target that does not exist yet: after two conformed loads, an
     enriched layer switched on late holds the rows of both."""
@@ -322,6 +341,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_counts_orders": load_counts_orders,
     "typed_new_orders": typed_new_orders,
     "new_orders_warehouse": new_orders_warehouse,
+    "new_orders_key_index": new_orders_key_index,
     "late_enabled_layer": late_enabled_layer,
     "enriched_after_two_loads": enriched_after_two_loads,
     "renamed_columns_batch": renamed_columns_batch,
@@ -498,6 +518,8 @@ batch AS (SELECT * FROM conf WHERE l_shipdate >= '1998-01-01')"""
     + _NEW_ROWS.format(p="l_shipdate")
 )
 
+ORACLE_SQL["new_orders_key_index"] = ORACLE_SQL["new_orders_warehouse"]
+
 # Stored orders and the new ones are all orders once, typed.
 ORACLE_SQL["late_enabled_layer"] = ORACLE_SQL["enriched_after_two_loads"] = (
     _ORDERS_SPLIT
