@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +84,46 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, whatever its columns."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n = "_" + n
+        have.add(n.lower())
+        out.append(n)
+    return out
+
+
+#: What operators keep in a worker between tasks, and how to drop it. A worker
+#: serves many operators in turn; a task drops what others than its own keep.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def kept_in_worker(name: str, drop: Callable[[], None]) -> None:
+    _KEPT[name] = drop
+
+
+def begin_task(uses: str | None) -> None:
+    for name, drop in _KEPT.items():
+        if name != uses:
+            drop()
+
+
+def text_slices(batch: pa.RecordBatch, text_col: str, max_chars: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Rows lo to hi of a batch and their whole texts (null: empty), about
+    ``max_chars`` bytes at a time; only one slice is decoded at once."""
+    column = batch.column(text_col)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).tolist()
+    lo, size = 0, 0
+    for i, n in enumerate([*sizes, None]):
+        if i > lo and (n is None or size + n > max_chars):
+            yield lo, i, [t or "" for t in column.slice(lo, i - lo).to_pylist()]
+            lo, size = i, 0
+        size += n or 0
+
+
 def text_ranges(texts: list[str], max_chars: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of about ``max_chars``; a longer text stands alone."""
     lo, size = 0, 0
@@ -101,17 +142,19 @@ def map_texts(
     schema: str,
     text_col: str = "text",
     max_chars: int = 1_000_000,
+    uses: str | None = None,
 ) -> DataFrame:
-    """Apply ``fn(rows, texts)`` to slices of about ``max_chars`` characters of
-    whole texts (null: empty). ``fn`` returns columns (a dict) or None."""
+    """Apply ``fn(rows, texts)`` to slices of about ``max_chars`` bytes of
+    whole texts (null: empty). ``fn`` returns columns (a dict) or None.
+    ``uses`` names what ``fn`` keeps in the worker (``kept_in_worker``)."""
     ship(df.sparkSession)
     out_schema = _arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(uses)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            for lo, hi in text_ranges(texts, max_chars):
-                cols = fn(batch.slice(lo, hi - lo), texts[lo:hi])
+            for lo, hi, texts in text_slices(batch, text_col, max_chars):
+                cols = fn(batch.slice(lo, hi - lo), texts)
                 if cols is not None:
                     yield record_batch(cols, out_schema)
         trim()
@@ -127,12 +170,15 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
+def map_arrow(
+    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str, uses: str | None = None
+) -> DataFrame:
     """``mapInArrow`` whose function yields dicts of columns."""
     ship(df.sparkSession)
     out_schema = _arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(uses)
         for cols in fn(batches):
             yield record_batch(cols, out_schema)
         trim()

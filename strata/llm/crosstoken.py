@@ -31,10 +31,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_type, ids_and_text, map_arrow, record_batch, ship, stage, text_ranges
+from strata.llm.common import id_type, ids_and_text, kept_in_worker, map_arrow, record_batch, ship, stage, text_slices
 from strata.llm.tokenids import BARE, BREAK, BYTE_LETTERS, MARKS, PieceEncoder, Recent, SplitEncoder, default_tokenizer, id_bytes
 
-#: Characters of whole texts in a chunk (a longer text is one of its own).
+#: Bytes of whole texts in a chunk (a longer text is one of its own).
 CHUNK_CHARS = 2_000_000
 #: Pieces kept by a worker for each tokenizer, in each of two generations.
 CACHE_PIECES = 100_000
@@ -255,6 +255,11 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+#: What workers keep under this name.
+ALIGNER = "aligner"
+kept_in_worker(ALIGNER, aligner.cache_clear)
+
+
 def _chunks(docs: DataFrame, path_a: str, path_b: str, kind: str) -> DataFrame:
     """Rows of documents (windows set), of a chunk's windows (links set) and
     of its pairs (pairs set), under the chunk's number."""
@@ -271,9 +276,8 @@ def _chunks(docs: DataFrame, path_a: str, path_b: str, kind: str) -> DataFrame:
         chunk = TaskContext.get().partitionId() << 32
         work = aligner(path_a, path_b)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lo, hi in text_ranges(texts, CHUNK_CHARS):
-                own, shared = work.chunk(texts[lo:hi])
+            for lo, hi, texts in text_slices(batch, "text", CHUNK_CHARS):
+                own, shared = work.chunk(texts)
                 yield rows(hi - lo, chunk=[chunk] * (hi - lo), doc_id=batch.column("doc_id").slice(lo, hi - lo), **own)
                 yield rows(1, chunk=[chunk], links=[shared["links"]], ends=[shared["ends"]])
                 for at in range(0, len(shared["pairs"]), PAIRS_A_ROW):
@@ -285,7 +289,7 @@ def _chunks(docs: DataFrame, path_a: str, path_b: str, kind: str) -> DataFrame:
         f"chunk long, doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
         "windows array<int>, times array<int>, links array<int>, ends array<int>, base int, pairs array<long>, docs array<int>"
     )
-    return map_arrow(docs, read, schema)
+    return map_arrow(docs, read, schema, uses=ALIGNER)
 
 
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:

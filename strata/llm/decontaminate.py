@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.align import MATCH, align_pairs, score_pairs
-from strata.llm.common import id_type, ids_and_text, map_texts
+from strata.llm.common import fresh, id_type, ids_and_text, map_texts
 from strata.llm.textcore import Words, mix, words
 
 #: A pair that stands more often than this in a block's items is common.
@@ -253,9 +253,10 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     an id are judged each by its own text."""
     kind = docs.schema[id_col].dataType.simpleString()
     keyed = docs.select(F.struct(F.col(id_col).alias("i"), F.xxhash64(F.col(text_col)).alias("h")).alias("k"), F.col(text_col).alias("text"))
-    hits = contaminated(keyed, items, "k", "text").select(F.col("doc_id.i").alias("__id"), F.col("doc_id.h").alias("__hash")).distinct()
-    assert hits.schema["__id"].dataType.simpleString() == kind
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__hash"))
+    key, text_hash = fresh(docs, "hit_id", "hit_hash")
+    hits = contaminated(keyed, items, "k", "text").select(F.col("doc_id.i").alias(key), F.col("doc_id.h").alias(text_hash)).distinct()
+    assert hits.schema[key].dataType.simpleString() == kind
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text_col)) == F.col(text_hash))
     return docs.join(hits, same, "left_anti")
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import held_out, ids_and_text, map_texts, ship, text_ranges
+from strata.llm.common import begin_task, held_out, ids_and_text, map_texts, ship, text_slices, trim
 from strata.llm.textcore import codes, letter_table, lower, mix
 
 #: First code point of the ranges of Unicode scripts, in order.
@@ -203,12 +203,13 @@ def drop_unidentified(docs: DataFrame, model: LanguageModel, min_score: float, t
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(None)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            for lo, hi in text_ranges(texts, 1_000_000):
-                got = _label(shared.value, texts[lo:hi], SWITCH_PENALTY)
+            for lo, hi, texts in text_slices(batch, text_col, 1_000_000):
+                got = _label(shared.value, texts, SWITCH_PENALTY)
                 keep = [x != "und" and s >= min_score for x, s in zip(got["lang_pred"], got["score"], strict=True)]
                 yield batch.slice(lo, hi - lo).filter(pa.array(keep, pa.bool_()))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
 

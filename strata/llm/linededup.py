@@ -18,15 +18,10 @@ table gives no row.
 
 from __future__ import annotations
 
-import hashlib
-
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from strata.llm.common import map_texts, stage, table
+from strata.llm.common import fresh, stage, table
 
 MIN_SITES = 10
 #: Sketches of 2^8 registers: standard error about 6.5 %.
@@ -89,49 +84,39 @@ def removed_lines(docs: DataFrame, min_sites: int, id_col: str, text_col: str, s
     return hits.select("doc_id", "text_hash", "pos").distinct().groupBy("doc_id", "text_hash").agg(F.collect_list("pos").alias("removed"))
 
 
-@F.pandas_udf(StringType())
-def without_lines(text: pd.Series, removed: pd.Series) -> pd.Series:
-    def one(t, gone):
-        if t is None or gone is None or not len(gone):
-            return t
-        drop = set(gone)
-        return "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop)
-
-    return pd.Series([one(t, g) for t, g in zip(text, removed, strict=True)], dtype=object)
-
-
 def remove_boilerplate(
-    docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source"
+    docs: DataFrame,
+    min_sites: int = MIN_SITES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    site_col: str = "source",
+    count_col: str = "lines_removed",
 ) -> DataFrame:
-    """``docs`` with cleaned text; a new last column ``lines_removed`` counts
-    what each row lost (a column of that name is replaced)."""
-    from strata.llm.common import ship
-
-    ship(docs.sparkSession)
+    """``docs`` with cleaned text; a new last column ``count_col`` counts what
+    each row lost (a column of that name is replaced)."""
+    key, text_hash, removed, lines = fresh(docs, "line_id", "line_hash", "line_removed", "line_list")
     gone = removed_lines(docs, min_sites, id_col, text_col, site_col).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("removed").alias("__removed")
+        F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash), F.col("removed").alias(removed)
     )
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__hash"))
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text_col)) == F.col(text_hash))
     joined = docs.join(gone, same, "left")
-    size = F.coalesce(F.size("__removed"), F.lit(0))
-    kept = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(without_lines(F.col(text_col), F.col("__removed")))
-    others = [F.col(f"`{c}`") if c != text_col else kept.alias(c) for c in docs.columns if c != "lines_removed"]
-    return joined.select(*others, size.cast("long").alias("lines_removed"))
+    joined = joined.withColumn(lines, F.when(F.col(removed).isNotNull(), F.split(F.col(text_col), "\n")))
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
+    left = F.array_join(F.transform(places, lambda i: F.get(F.col(lines), i)), "\n")
+    kept = F.when(F.col(removed).isNull(), F.col(text_col)).otherwise(left)
+    others = [F.col(f"`{c}`") if c != text_col else kept.alias(c) for c in docs.columns if c.lower() != count_col.lower()]
+    return joined.select(*others, F.coalesce(F.size(removed), F.lit(0)).cast("long").alias(count_col))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    cleaned = remove_boilerplate(docs.select("doc_id", "text", "source"))
-
-    def digest(rows: pa.RecordBatch, texts: list[str]) -> dict:
-        return {
-            "doc_id": rows.column("doc_id"),
-            "lines_removed": rows.column("lines_removed"),
-            "n_bytes": [len(t.encode()) for t in texts],
-            "kept_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in texts],
-        }
-
-    return map_texts(cleaned, digest, "doc_id long, lines_removed long, n_bytes long, kept_sha256 string")
+    text = F.coalesce("text", F.lit(""))
+    return remove_boilerplate(docs.select("doc_id", "text", "source")).select(
+        "doc_id",
+        "lines_removed",
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text.cast("binary"), 256).alias("kept_sha256"),
+    )
 
 
 #: The same by exact counts alone.

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_type, ids_and_text, map_arrow, map_texts, partitions, runs, stage
+from strata.llm.common import fresh, id_type, ids_and_text, map_arrow, map_texts, partitions, runs, stage
 from strata.llm.components import components
 from strata.llm.textcore import Words, mix, ngrams, words
 
@@ -303,15 +303,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one row of each group: the smallest id's. Rows without
     words all stay."""
     found = stage(near_duplicates(docs, id_col, text_col, similarity), "groups")
-    keep = found.filter("first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), (F.col("class_size") > 1).alias("__group")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__hash"))
-    kept = docs.join(keep, same)
+    key, text_hash, grouped = fresh(docs, "kept_id", "kept_hash", "kept_group")
+    keep = found.filter("first").select(
+        F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash), (F.col("class_size") > 1).alias(grouped)
+    )
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text_col)) == F.col(text_hash))
+    kept = docs.join(keep.distinct(), same)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     # Rows that repeat an id and a text are copies too: one of them stays.
     repeats = found.filter("first and class_size > 1").groupBy("doc_id", "text_hash").count().filter("count > 1")
     if repeats.isEmpty():
-        return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
-    lone = kept.filter("__group").dropDuplicates(["__id", "__hash"])
-    return kept.filter("not __group").unionByName(lone).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return kept.select(*columns)
+    lone = kept.filter(F.col(grouped)).dropDuplicates([key, text_hash])
+    return kept.filter(~F.col(grouped)).unionByName(lone).select(*columns)
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

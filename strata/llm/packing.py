@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import id_type, ids_and_text, map_arrow, map_texts, partitions, stage
-from strata.llm.tokenids import SLICE_CHARS, default_tokenizer, encoder
+from strata.llm.tokenids import ENCODERS, SLICE_CHARS, default_tokenizer, encoder
 
 #: How many sequences, and the (length, count) items that each of them holds.
 Pattern = tuple[int, tuple[tuple[int, int], ...]]
@@ -60,7 +60,7 @@ def cut_pieces(
         return out
 
     schema = f"doc_id {id_type(docs, id_col)}, piece int, start long, length long, ids_crc32 long"
-    return map_texts(ids_and_text(docs, id_col, text_col), pieces, schema, max_chars=SLICE_CHARS)
+    return map_texts(ids_and_text(docs, id_col, text_col), pieces, schema, max_chars=SLICE_CHARS, uses=ENCODERS)
 
 
 def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[Pattern], dict[int, int]]:

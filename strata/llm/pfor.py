@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_type, ids_and_text, map_arrow, partitions, scratch_path, text_ranges
-from strata.llm.tokenids import SLICE_CHARS, default_tokenizer, encoder
+from strata.llm.common import id_type, ids_and_text, map_arrow, partitions, scratch_path, text_slices
+from strata.llm.tokenids import ENCODERS, SLICE_CHARS, default_tokenizer, encoder
 
 BLOCK_IDS = 1024
 STRIPE_IDS = 131_072
@@ -168,10 +168,9 @@ def write_token_files(
             }
 
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = batch.column("doc_id").to_pylist()
-            for lo, hi in text_ranges(texts, SLICE_CHARS):
-                for key, encoded in zip(keys[lo:hi], enc.encode(texts[lo:hi]), strict=True):
+            for lo, hi, texts in text_slices(batch, "text", SLICE_CHARS):
+                for key, encoded in zip(keys[lo:hi], enc.encode(texts), strict=True):
                     ids.append(key)
                     parts.append(encoded + end)
                     size += len(encoded) // 4 + 1
@@ -194,7 +193,7 @@ def write_token_files(
         f"shard int, stripe int, first_id long, n_ids long, doc_ids array<{kind}>, doc_sizes array<int>, "
         "block_starts array<int>, payload binary"
     )
-    map_arrow(ordered, stripes, schema).write.option("compression", "none").parquet(path)
+    map_arrow(ordered, stripes, schema, uses=ENCODERS).write.option("compression", "none").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

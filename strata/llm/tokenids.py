@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-from strata.llm.common import text_ranges
+from strata.llm.common import kept_in_worker, text_ranges
 
 #: Entries of a generation of a worker's cache.
 CACHE_PIECES = 200_000
@@ -42,7 +42,10 @@ _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Beyond these characters Unicode versions may differ on what a letter is.
 _UNSETTLED = regex.compile(r"[^\x00-\u024f]")
+#: What workers keep under this name: the encoders.
+ENCODERS = "encoders"
 _ENCODERS: dict[str, PieceEncoder] = {}
+kept_in_worker(ENCODERS, _ENCODERS.clear)
 
 
 def byte_letters() -> dict[int, str]:
