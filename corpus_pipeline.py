@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, langid, linededup, minhash, packing
-from strata.llm.common import held_out, scratch_path, table
+from strata.llm.common import fresh, held_out, scratch_path, table
 
 MIN_LANGUAGE_SCORE = 0.4
 SEQUENCE_LENGTH = 2048
@@ -34,11 +34,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = linededup.remove_boilerplate(docs)
-    emptied = (F.col("lines_removed") > 0) & (F.trim("text") == "")
+    (lost,) = fresh(docs, "lines_removed")
+    cleaned = linededup.remove_boilerplate(docs, count_col=lost)
+    emptied = (F.col(lost) > 0) & (F.trim("text") == "")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     if "n_chars" in docs.columns:
-        size = F.when(F.col("lines_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        size = F.when(F.col(lost) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
         columns = [size.alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return cleaned.filter(~F.coalesce(emptied, F.lit(False))).select(*columns)
 
