@@ -49,6 +49,9 @@ class LakeConfig:
     # as shuffle partitions when it is built).
     key_index: bool = True
     key_buckets: int | None = None
+    # Keep membership bitmaps of the conformed layer with domains of so many
+    # bits (operators.membership.domain_bits); None: none.
+    membership_bits: int | None = None
     # Files of one dataset that are loaded at once, exactly as one after another
     # (see operators.fold; at most MAX_FOLD_FILES). 1: one at a time.
     fold_files: int = 62

@@ -32,10 +32,14 @@ from ..operators.increment import (
     prune_to_batch,
     prune_to_values,
 )
+from ..operators.membership import new_rows_by_bitmap, observed_rows
 from ..operators.spec import DatasetSpec, spelled
+from ..session import ensure_checkpoint_dir
+from ..sources.catalog import LOGGED_FORMATS
+from ..sources.daybits import SUFFIX, DayBitmaps
 from ..sources.files import read_csv
 from ..sources.layers import LayerTable, heal_partitions, open_layer, save_to_layer, snapshot_layer
-from ..sources.taken import append_unfinished, begin_append, end_append
+from ..sources.taken import append_unfinished, begin_append, end_append, source_version
 from .target import LoadResult, Target
 
 
@@ -172,10 +176,10 @@ def load_conformed(
     stored = open_layer(spark, lt)
     batch = conformed_batch(raw, spec, load_ts)
     seen = Observation("incoming")
-    batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
 
     if stored is None:
         # A5: the first load creates the table.
+        batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
         save_to_layer(spark, lt, batch, days, mode="errorifexists")
         end_append(spark, lt.db, lt.table)
         result.created, result.existing = True, 0
@@ -188,7 +192,17 @@ def load_conformed(
     hot = None
     if cfg.hot_key_rows is not None and raw_rows > cfg.hot_key_rows:
         hot = batch_hot_keys(raw, spec, cfg.hot_key_rows, raw_rows)
-    new = new_lake_rows(batch, stored, part, days, hot=hot).persist(StorageLevel.MEMORY_AND_DISK)
+    maps, sure, may = None, Observation("surely-new"), Observation("looked-up")
+    present = source_version(spark, lt.db, lt.table)
+    if cfg.membership_bits and days is not None and present and cfg.fmt not in LOGGED_FORMATS:
+        maps = DayBitmaps(spark, lt.db, lt.table + SUFFIX, lt.path.rstrip("/") + SUFFIX, cfg.membership_bits, part)
+        bitmaps = maps.bitmaps(present)
+        bitmaps = maps.of_days(maps.build(stored, present) if bitmaps is None else bitmaps, days)
+        pruned = prune_to_values(stored, part, days)
+        new = new_rows_by_bitmap(batch, pruned, bitmaps, maps.bits, hot=hot, sure_seen=sure, may_seen=may)
+    else:
+        new = new_lake_rows(batch.observe(seen, F.count(F.lit(1)).alias("rows")), stored, part, days, hot=hot)
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # Days that receive rows: the only partitions this append changes or
         # creates. A subset of the batch's bounded day list, so they are
@@ -197,8 +211,17 @@ def load_conformed(
             result.new, touched = count_with_values(new, part)
         else:
             result.new, touched = new.count(), None
-        result.incoming = int(seen.get["rows"])
+        if maps is None:
+            result.incoming = int(seen.get["rows"])
+        else:
+            result.looked_up = observed_rows(may)
+            result.incoming = observed_rows(sure) + result.looked_up
+            if result.new > 0:
+                ensure_checkpoint_dir(spark)
+                added = new.select(HASH_COL, part).checkpoint()
         result.backup = append_new(spark, cfg, lt, target, stored, new, result.new, days, touched, died)
+        if maps is not None and result.new > 0:
+            maps.append(added, source_version(spark, lt.db, lt.table))
     finally:
         new.unpersist()
     if cfg.full_counts:

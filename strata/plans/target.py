@@ -76,6 +76,8 @@ class LoadResult:
     incoming: int | None = None
     new: int | None = None
     after: int | None = None
+    # Incoming rows that had to be looked up among the stored keys.
+    looked_up: int | None = None
     created: bool = False
     partitions: list | None = None
     backup: str | None = None

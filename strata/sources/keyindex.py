@@ -29,11 +29,18 @@ from .catalog import ensure_database, qualified, table_exists
 from .taken import get_properties, set_properties
 
 SUFFIX = "__keys"
-_HOLDS, _BUCKETS, _APPENDS = "strata.holds", "strata.buckets", "strata.appends"
+#: Property of a side table: the version of the target that it describes.
+HOLDS = "strata.holds"
+_BUCKETS, _APPENDS = "strata.buckets", "strata.appends"
 #: Appends after which an index is written anew: a bucket is a file for each.
 MAX_APPENDS = 32
 
 
+def fresh_folder(path: str) -> str:
+    """A folder of its own below ``path`` for every time a table is built."""
+    return f"{path}/{uuid.uuid4().hex}"
+
+
 @dataclass(frozen=True)
 class KeyIndex:
     """``db.table`` over folders below ``path``. ``buckets`` None: as many as
@@ -55,7 +62,7 @@ class KeyIndex:
         if not version or not table_exists(self.spark, self.db, self.table):
             return None
         have = get_properties(self.spark, self.db, self.table)
-        if have.get(_HOLDS) != version or int(have.get(_APPENDS, 0)) > MAX_APPENDS:
+        if have.get(HOLDS) != version or int(have.get(_APPENDS, 0)) > MAX_APPENDS:
             return None
         return self.spark.table(self.name)
 
@@ -68,8 +75,8 @@ class KeyIndex:
         # A folder of its own, so a read of the index before stays whole.
         keys = rows.select(self.key).distinct().repartition(buckets, self.key)
         writer = keys.write.format("parquet").bucketBy(buckets, self.key).sortBy(self.key)
-        writer.option("path", f"{self.path}/{uuid.uuid4().hex}").saveAsTable(self.name)
-        set_properties(self.spark, self.db, self.table, {_HOLDS: version, _BUCKETS: str(buckets), _APPENDS: "0"})
+        writer.option("path", fresh_folder(self.path)).saveAsTable(self.name)
+        set_properties(self.spark, self.db, self.table, {HOLDS: version, _BUCKETS: str(buckets), _APPENDS: "0"})
         return self.spark.table(self.name)
 
     def append(self, rows: DataFrame, version: str) -> None:
@@ -80,7 +87,7 @@ class KeyIndex:
         keys = rows.select(self.key).distinct().repartition(int(have[_BUCKETS]), self.key)
         keys.write.insertInto(self.name)
         appends = str(int(have[_APPENDS]) + 1)
-        set_properties(self.spark, self.db, self.table, {_HOLDS: version, _APPENDS: appends})
+        set_properties(self.spark, self.db, self.table, {HOLDS: version, _APPENDS: appends})
 
 
 def new_by_index(batch: DataFrame, keys: DataFrame, key: str = HASH_COL, hot: list | None = None) -> DataFrame:
