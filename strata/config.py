@@ -34,9 +34,11 @@ class LakeConfig:
     business_table: str = "business_metadata"
     technical_table: str = "technical_metadata"
     fmt: str = "parquet"
-    # "table": copy the whole conformed table before each append;
-    # "partitions": copy only the partitions that the append writes to.
-    backup_scope: str = "table"
+    # Backup of the conformed layer before each append. "files": copy only files
+    # that no kept backup holds (sources.backup); "table": copy the whole
+    # table; "partitions": copy only the partitions that the append writes to.
+    backup_scope: str = "files"
+    backups_kept: int = 1
     # Count whole stored layers before and after each load (F1 "existing" and
     # "after"). Off by default: it lists and reads every file footer of the
     # layer; the new-row count is always exact without it.

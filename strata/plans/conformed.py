@@ -35,6 +35,7 @@ from ..operators.increment import (
 from ..operators.membership import new_rows_by_bitmap, observed_rows
 from ..operators.spec import DatasetSpec, spelled
 from ..session import ensure_checkpoint_dir
+from ..sources.backup import backup_files
 from ..sources.catalog import LOGGED_FORMATS
 from ..sources.daybits import SUFFIX, DayBitmaps
 from ..sources.files import read_csv
@@ -133,15 +134,18 @@ def append_new(
     no ``rows``. ``touched`` are the days that receive rows. Returns the backup."""
     part, backup = lt.partition_col, None
     if rows > 0:
-        if cfg.backup_scope == "table":
+        scope = "table" if cfg.fmt in LOGGED_FORMATS and cfg.backup_scope == "files" else cfg.backup_scope
+        root = join_path(cfg.backup, target.subpath)
+        if scope == "table":
             before = stored
-        elif touched is not None:
+        elif scope == "partitions" and touched is not None:
             before = prune_to_values(stored, part, touched)
-        else:  # too many days to list: semi-join on the new rows' days
+        elif scope == "partitions":  # too many days to list: semi-join on the new rows' days
             before = prune_to_batch(stored, new, part)
-        backup = snapshot_layer(
-            before, join_path(cfg.backup, target.subpath), part, cfg.fmt, keep_if_empty=cfg.backup_scope != "table"
-        )
+        if scope == "files":
+            backup = backup_files(spark, lt, stored, root, cfg.backups_kept)
+        else:
+            backup = snapshot_layer(before, root, part, cfg.fmt, keep_if_empty=scope != "table")
         begin_append(spark, lt.db, lt.table, days)
         save_to_layer(spark, lt, new, touched, mode="append")
     elif died:  # the rows it left are new to every target

@@ -140,7 +140,7 @@ def test_partitions_written_but_never_recorded_block_their_rows(spark, scratch):
 
 
 def test_backups_are_whole_and_replaced_only_when_complete(spark, scratch):
-    cfg = config(scratch, "back")
+    cfg = config(scratch, "back", backup_scope="table")
     t = feed(cfg, "ev__1.csv", "k,day\n1,2024-01-01\n")
     load_conformed(spark, cfg, t, spec(), TS)
     b2 = load_conformed(spark, cfg, feed(cfg, "ev__2.csv", "k,day\n2,2024-01-02\n"), spec(), TS).backup
