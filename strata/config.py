@@ -51,6 +51,9 @@ class LakeConfig:
     # as shuffle partitions when it is built).
     key_index: bool = True
     key_buckets: int | None = None
+    # Keep the values that casts lose in a table next to each layer
+    # (sources.quarantine); they are counted in the load results anyway.
+    quarantine: bool = True
     # Keep membership bitmaps of the conformed layer with domains of so many
     # bits (operators.membership.domain_bits); None: none.
     membership_bits: int | None = None

@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from ..config import LakeConfig, join_path
 from ..functions.keys import HASH_COL, partition_day, with_audit_columns, with_partition_day, with_row_hash
 from ..functions.names import clean_columns
+from ..operators.failures import failed_cells, failed_day
 from ..operators.increment import (
     MAX_PRUNE_VALUES,
     count_with_values,
     hot_keys,
     new_lake_rows,
-    partition_counts,
     prune_to_batch,
     prune_to_values,
 )
@@ -39,6 +39,8 @@ from ..sources.backup import backup_files
 from ..sources.catalog import LOGGED_FORMATS
 from ..sources.daybits import SUFFIX, DayBitmaps
 from ..sources.files import read_csv
+from ..sources.quarantine import SUFFIX as FAILED
+from ..sources.quarantine import record_failures
 from ..sources.layers import LayerTable, heal_partitions, open_layer, save_to_layer, snapshot_layer
 from ..sources.taken import append_unfinished, begin_append, end_append, source_version
 from .target import LoadResult, Target
@@ -62,12 +64,16 @@ def conformed_batch(raw: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFram
     return finished_rows(normalised_rows(raw, spec), spec, load_ts)
 
 
-def normalised_rows(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
+def normalised_rows(raw: DataFrame, spec: DatasetSpec, no_day: str | None = None) -> DataFrame:
     """Clean names and the partition day, row by row. The hash is taken here
-    only if it needs the raw text of the partition column."""
+    only if it needs the raw text of the partition column. A column ``no_day``
+    tells whether that text was no day."""
     df = spelled(clean_columns(raw), spec.partition_key)
     keys = [_resolve(df, k) for k in spec.hash_keys]
     part = _resolve(df, spec.partition_key)
+    if no_day is not None:
+        lost = [t[3] for t in failed_day(df, part)]
+        df = df.withColumn(no_day, lost[0] if lost else F.lit(False))
     return with_partition_day(with_row_hash(df, keys) if part in keys else df, part)
 
 
@@ -80,7 +86,13 @@ def finished_rows(rows: DataFrame, spec: DatasetSpec, load_ts=None) -> DataFrame
 
 
 def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int]:
-    """Distinct partition days of a batch and its raw row count.
+    """Distinct partition days of a batch and its raw row count."""
+    return batch_days_and_losses(raw, spec)[:2]
+
+
+def batch_days_and_losses(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int, int]:
+    """Distinct partition days of a batch, its raw row count, and how many of
+    its partition values are no day.
 
     One pass reading only the partition column: rows are counted per day and
     at most ``MAX_PRUNE_VALUES + 1`` (day, count) pairs reach the driver.
@@ -88,8 +100,21 @@ def batch_days(raw: DataFrame, spec: DatasetSpec) -> tuple[list | None, int]:
     """
     df = clean_columns(raw)
     part = _resolve(df, spec.partition_key)
-    day = partition_day(part, df.schema[part].dataType)
-    return partition_counts(df, day, part, MAX_PRUNE_VALUES)
+    day = partition_day(part, df.schema[part].dataType).alias("day")
+    lost = F.count(F.col(f"`{part}`"))  # values of rows without a day
+    rows = df.groupBy(day).agg(F.count(F.lit(1)).alias("n"), lost.alias("lost")).limit(MAX_PRUNE_VALUES + 1).collect()
+    if len(rows) > MAX_PRUNE_VALUES:
+        n, no_day = df.agg(F.count(F.lit(1)), F.count_if(F.col(f"`{part}`").isNotNull() & day.isNull())).first()
+        return None, n, no_day
+    return [r["day"] for r in rows], sum(r["n"] for r in rows), sum(r["lost"] for r in rows if r["day"] is None)
+
+
+def quarantine_days(spark: SparkSession, cfg: LakeConfig, lt: LayerTable, raw: DataFrame, spec: DatasetSpec, load_ts) -> None:
+    """Record the partition values of ``raw`` that are no day."""
+    df = spelled(clean_columns(raw), spec.partition_key)
+    df = with_row_hash(df, [_resolve(df, k) for k in spec.hash_keys])
+    cells = failed_cells(df, failed_day(df, _resolve(df, spec.partition_key)))
+    record_failures(spark, lt.db, lt.table + FAILED, lt.path.rstrip("/") + FAILED, cells, load_ts)
 
 
 def batch_hot_keys(
@@ -167,13 +192,17 @@ def load_conformed(
     result = LoadResult("conformed", lt.path)
     raw = read_csv(spark, target.path)
     part = spec.partition_key
-    days, raw_rows = batch_days(raw, spec) if raw.columns else ([], 0)
+    days, raw_rows, no_day = batch_days_and_losses(raw, spec) if raw.columns else ([], 0, 0)
     if raw_rows == 0:  # D6: nothing to load, nothing written
         result.notes.append("empty file")
         result.partitions = []
         result.incoming = result.new = 0
         return result
     result.partitions = days
+    if no_day:
+        result.failed = {part: no_day}
+        if cfg.quarantine:
+            quarantine_days(spark, cfg, lt, raw, spec, load_ts)
     # After an append that died, whatever it wrote on any day is recorded.
     died = append_unfinished(spark, lt.db, lt.table)
     heal_partitions(spark, lt, None if died else days)

@@ -26,19 +26,22 @@ from ..session import ensure_checkpoint_dir
 from ..sources.files import read_csv
 from ..sources.layers import heal_partitions, open_layer
 from ..sources.taken import append_unfinished
-from .conformed import _resolve, append_new, conformed_table, finished_rows, normalised_rows
+from .conformed import _resolve, append_new, conformed_table, finished_rows, normalised_rows, quarantine_days
 from .target import LoadResult, Target
 from .typed import load_enriched, load_sandbox
 from .warehouse import load_warehouse
 
+NO_DAY = "__strata_no_day"
+
 
 def files_rows(spark: SparkSession, targets: list[Target], spec: DatasetSpec) -> DataFrame | None:
-    """Normalised rows of all files with their rank; None if all are empty."""
+    """Normalised rows of all files with their rank, and whether their
+    partition value is no day; None if all are empty."""
     frames = []
     for rank, t in enumerate(targets):
         raw = read_csv(spark, t.path)
         if raw.columns:
-            frames.append(normalised_rows(raw, spec).withColumn(FILE_COL, F.lit(rank)))
+            frames.append(normalised_rows(raw, spec, NO_DAY).withColumn(FILE_COL, F.lit(rank)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
@@ -55,17 +58,21 @@ def load_files_at_once(
     layer that follows."""
     if len(targets) > MAX_FOLD_FILES:
         raise ValueError(f"{len(targets)} files: at most {MAX_FOLD_FILES} are loaded at once")
-    load_ts = load_ts or _dt.datetime.now().replace(microsecond=0)
     t = targets[0]
     lt = conformed_table(cfg, t, spec)
     part = spec.partition_key
     results = [LoadResult("conformed", lt.path, incoming=0, new=0, partitions=[]) for _ in targets]
     rows = files_rows(spark, targets, spec)
-    # One pass over the partition column alone: the days and their files.
-    found = []
+    # One pass over the partition column alone: the days and their files, and
+    # the files with values that are no day.
+    found, load_ts = [], load_ts or _dt.datetime.now().replace(microsecond=0)
     if rows is not None:
-        per_day = rows.groupBy(part).agg(F.bit_or(file_bit(F.col(FILE_COL))).alias("files"), F.count(F.lit(1)).alias("n"))
+        lost = F.bit_or(F.when(F.col(NO_DAY), file_bit(F.col(FILE_COL)))).alias("lost")
+        per_day = rows.groupBy(part).agg(F.bit_or(file_bit(F.col(FILE_COL))).alias("files"), F.count(F.lit(1)).alias("n"), lost)
         found = per_day.limit(MAX_PRUNE_VALUES + 1).collect()
+        if any(r["lost"] for r in found):
+            _losses(spark, cfg, lt, targets, spec, rows, results, load_ts)
+        rows = rows.drop(NO_DAY)
     days = [r[0] for r in found] if len(found) <= MAX_PRUNE_VALUES else None
     for rank, r in enumerate(results):
         r.partitions = None if days is None else [d[0] for d in found if d["files"] >> rank & 1]
@@ -87,6 +94,14 @@ def load_files_at_once(
     return out
 
 
+def _losses(spark, cfg, lt, targets, spec, rows, results, load_ts) -> None:
+    """Count and record the partition values that are no day, by file."""
+    for rank, n in rows.filter(F.col(NO_DAY)).groupBy(FILE_COL).count().collect():
+        results[rank].failed = {lt.partition_col: n}
+        if cfg.quarantine:
+            quarantine_days(spark, cfg, lt, read_csv(spark, targets[rank].path), spec, load_ts)
+
+
 def _append_files(spark, cfg, lt, target, spec, rows, found, days, raw_rows, results, load_ts) -> DataFrame:
     """Fold, back up, append. Returns key, day and file of the new rows."""
     part = spec.partition_key

@@ -78,6 +78,8 @@ class LoadResult:
     after: int | None = None
     # Incoming rows that had to be looked up among the stored keys.
     looked_up: int | None = None
+    # Values that casts lost, by column, in the rows that were read.
+    failed: dict = field(default_factory=dict)
     created: bool = False
     partitions: list | None = None
     backup: str | None = None

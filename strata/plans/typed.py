@@ -16,12 +16,15 @@ not (a target switched off for some loads, or a load that failed), or with
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LakeConfig
 from ..functions.keys import HASH_COL
+from ..operators.failures import failed_cast, failed_cells, observe_failures, observed_failures
 from ..operators.fold import keys_besides, later_entries, without_later
 from ..operators.increment import (
     anti_join_new,
@@ -36,6 +39,8 @@ from ..operators.spec import DatasetSpec
 from ..session import ensure_checkpoint_dir
 from ..sources.catalog import LOGGED_FORMATS
 from ..sources.keyindex import SUFFIX, KeyIndex, new_by_index
+from ..sources.quarantine import SUFFIX as FAILED
+from ..sources.quarantine import record_failures
 from ..sources.layers import LayerTable, heal_partitions, open_layer, save_to_layer, try_read_layer
 from ..sources.taken import append_unfinished, begin_append, end_append, rest_taken, set_taken, source_version
 from .conformed import conformed_table
@@ -67,6 +72,16 @@ def typed_table(cfg: LakeConfig, layer: str, target: Target, spec: DatasetSpec)
     )
 
 
+def account_failures(spark, cfg, lt: LayerTable, rows: DataFrame, tests: list, lost: Observation, result: LoadResult) -> None:
+    """Lost values of the rows a load has read: counted in its result and,
+    where there are any, recorded in the layer's quarantine table."""
+    result.failed = observed_failures(tests, lost)
+    if result.failed and cfg.quarantine:
+        cells = failed_cells(rows, [t for t in tests if t[0] in result.failed])
+        load_ts = _dt.datetime.now().replace(microsecond=0)
+        record_failures(spark, lt.db, lt.table + FAILED, lt.path.rstrip("/") + FAILED, cells, load_ts)
+
+
 def layer_index(spark: SparkSession, cfg: LakeConfig, lt: LayerTable) -> KeyIndex | None:
     if not cfg.key_index or lt.fmt in LOGGED_FORMATS:
         return None
@@ -118,6 +133,7 @@ def load_typed_layer(
         result.notes.append("no conformed layer")
         return result
     version = source_version(spark, src.db, src.table)
+    tests, lost = failed_cast(conformed, spec), Observation(f"{layer}-lost")
     cut = (
         partitions is not None
         and open_layer(spark, dst) is not None
@@ -136,7 +152,7 @@ def load_typed_layer(
         later = later_entries(entered, part, None if cut else keys_besides(whole, entered, part))
         if not later.isEmpty():
             conformed = without_later(conformed, later, part)
-    batch = typed_batch(conformed, spec)
+    batch = typed_batch(observe_failures(conformed, tests, lost), spec)
     # One pass over the conformed partition column (no data columns): the
     # days the batch really holds and its row count. The days are turned
     # into the lake type's text form, as the target stores them; None above
@@ -168,6 +184,7 @@ def load_typed_layer(
         set_taken(spark, (dst.db, dst.table), version)
         result.created, result.existing = True, 0
         result.incoming = result.new = result.after = int(seen.get["rows"])
+        account_failures(spark, cfg, dst, conformed, tests, lost, result)
         return result
 
     result.incoming = conformed_rows
@@ -193,6 +210,7 @@ def load_typed_layer(
             result.new, touched = count_with_values(new, part)
         else:
             result.new, touched = new.count(), None
+        account_failures(spark, cfg, dst, conformed, tests, lost, result)
         if result.new > 0:
             if keys is not None:
                 ensure_checkpoint_dir(spark)

@@ -10,14 +10,21 @@ the cluster column, descending (H2).
 
 from __future__ import annotations
 
+import datetime as _dt
+
+from pyspark.sql import Observation
+
 from ..config import LakeConfig, join_path
 from ..functions.keys import HASH_COL
+from ..operators.failures import failed_cast, failed_cells, observe_failures, observed_failures
 from ..operators.increment import hot_keys, new_warehouse_rows, prune_to_values
 from ..operators.project import typed_projection
 from ..operators.spec import DatasetSpec
 from ..sources.catalog import create_table, ensure_database, ensure_view, table_exists
 from ..sources.keyindex import SUFFIX, KeyIndex, new_by_index
 from ..sources.layers import open_layer
+from ..sources.quarantine import SUFFIX as FAILED
+from ..sources.quarantine import record_failures
 from ..sources.warehouse import insert_from_staging, read_warehouse, write_staging
 from ..sources.taken import begin_append, end_append, rest_taken, set_taken, source_version
 from .target import LoadResult, Target
@@ -50,7 +57,8 @@ def load_warehouse(
             result.incoming = result.new = 0
             return result
         src = prune_to_values(src, spec.partition_key, partitions)
-    typed = typed_projection(src, spec, "sql")
+    tests, lost = failed_cast(src, spec, "sql"), Observation("warehouse-lost")
+    typed = typed_projection(observe_failures(src, tests, lost), spec, "sql")
     result.incoming = src.count()  # reads file footers only
 
     ensure_database(spark, schema)  # B3
@@ -78,6 +86,11 @@ def load_warehouse(
         result.created, result.existing = True, 0
         new = typed
     write_staging(new, staging, table)  # A13
+    result.failed = observed_failures(tests, lost)
+    if result.failed and cfg.quarantine:
+        cells = failed_cells(src, [t for t in tests if t[0] in result.failed])
+        folder = join_path(cfg.enriched, target.subpath) + f"__{schema}_{table}{FAILED}"
+        record_failures(spark, staging, table + FAILED, folder, cells, _dt.datetime.now().replace(microsecond=0))
     begin_append(spark, schema, table, None)
     result.new = insert_from_staging(spark, staging, schema, table, spec.cluster_keys)  # A14
     end_append(spark, schema, table)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .functions.keys import with_partition_day
 from .functions.names import clean_columns, clean_name_expr
+from .operators.failures import failed_cast, failed_cells, failure_counts
 from .operators.fold import FILE_COL, fold_new_rows
 from .operators.increment import (
     anti_join_new,
@@ -104,6 +105,15 @@ CUSTOMER_TEXT_AS_INT = _spec(
         ("c_acctbal", "3", "decimal(12,2)", "decimal(12,2)", "N", "N", "N"),
     ],
 )
+CUSTOMER_LOSSY = _spec(
+    "customer_feed",
+    [
+        ("c_custkey", "1", "tinyint", "smallint", "Y", "N", "Y"),
+        ("c_name", "2", "int", "date", "N", "N", "N"),
+        ("c_acctbal", "3", "decimal(5,2)", "decimal(5,1)", "N", "N", "N"),
+        ("c_mktsegment", "4", "boolean", "varchar(3)", "N", "Y", "N"),
+    ],
+)
 CUSTOMER_WAREHOUSE = _spec(
     "customer_feed",
     [
@@ -310,6 +320,18 @@ def typed_customer_failing_casts(spark, sf_dir):
     return typed_projection(_table(spark, sf_dir, "customer"), CUSTOMER_TEXT_AS_INT, "lake")
 
 
+def customer_cast_failures(spark, sf_dir):
+    """Values that the declared lake types lose, counted by column."""
+    cust = _table(spark, sf_dir, "customer")
+    return failure_counts(cust, failed_cast(cust, CUSTOMER_LOSSY))
+
+
+def customer_lost_values(spark, sf_dir):
+    """Each lost value with its key, for the quarantine table."""
+    cust = _table(spark, sf_dir, "customer")
+    return failed_cells(cust, failed_cast(cust, CUSTOMER_LOSSY, "sql"), "c_custkey")
+
+
 def warehouse_customer(spark, sf_dir):
     """C8 + A14 + I2: warehouse types with varchar truncation, then DISTINCT."""
     return typed_projection(_table(spark, sf_dir, "customer"), CUSTOMER_WAREHOUSE, "sql").distinct()
@@ -361,6 +383,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "renamed_columns_batch": renamed_columns_batch,
     "typed_lineitem": typed_lineitem,
     "typed_customer_failing_casts": typed_customer_failing_casts,
+    "customer_cast_failures": customer_cast_failures,
+    "customer_lost_values": customer_lost_values,
     "warehouse_customer": warehouse_customer,
     "clean_page_urls": clean_page_urls,
     "routed_pages": routed_pages,
@@ -534,6 +558,17 @@ batch AS (SELECT * FROM conf WHERE l_shipdate >= '1998-01-01')"""
 
 ORACLE_SQL["new_orders_key_index"] = ORACLE_SQL["new_orders_warehouse"]
 
+_LAKE_LOSSY = {"c_custkey": ("TINYINT", "tinyint"), "c_name": ("INTEGER", "int"), "c_acctbal": ("DECIMAL(5,2)", "decimal(5,2)"), "c_mktsegment": ("BOOLEAN", "boolean")}
+_SQL_LOSSY = {"c_custkey": ("SMALLINT", "smallint"), "c_name": ("DATE", "date"), "c_acctbal": ("DECIMAL(5,1)", "decimal(5,1)")}
+ORACLE_SQL["customer_cast_failures"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", '{text}' AS wanted, count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL) AS failures FROM customer"
+    for c, (t, text) in _LAKE_LOSSY.items()
+)
+ORACLE_SQL["customer_lost_values"] = "\nUNION ALL\n".join(
+    f"SELECT c_custkey, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, '{text}' AS wanted FROM customer WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL"
+    for c, (t, text) in _SQL_LOSSY.items()
+)
+
 ORACLE_SQL["new_lineitem_bitmap"] = ORACLE_SQL["new_lineitem"]
 
 # Stored orders and the new ones are all orders once, typed.
