@@ -15,5 +15,5 @@ from .increment import (
     stored_keys,
 )
 from .project import typed_columns, typed_projection
-from .routing import BUSINESS_COLUMNS, layer_switch, match_condition, route, with_target_names
+from .routing import BUSINESS_COLUMNS, match_condition, route, with_target_names
 from .spec import ColumnSpec, DatasetSpec, dataset_spec, flag_set, specs_from_rows, warehouse_ddl

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
+from ..functions import targets
+
 
 @dataclass(frozen=True)
 class Target:
@@ -40,11 +42,11 @@ class Target:
 
     @property
     def subpath(self) -> str:
-        return "/".join([self.root, self.database, self.schema, self.table])
+        return targets.layer_subpath(self.root, self.database, self.schema, self.table)
 
     @property
     def catalog_table(self) -> str:
-        return f"{self.sql_schema}_{self.sql_table}"
+        return targets.catalog_table(self.sql_schema, self.sql_table)
 
     @property
     def warehouse_db(self) -> str:
@@ -52,11 +54,12 @@ class Target:
         for name in (self.sql_database, self.sql_schema):
             if "__" in name or name.startswith("_") or name.endswith("_"):
                 raise ValueError(f"warehouse name {name!r}: an outer or double underscore would be ambiguous")
-        return f"{self.sql_database}__{self.sql_schema}"
+        return targets.warehouse_db(self.sql_database, self.sql_schema)
 
     @property
     def staging_schema(self) -> str:
-        return f"staging_{self.warehouse_db}"
+        self.warehouse_db  # refuses ambiguous names
+        return targets.staging_db(self.sql_database, self.sql_schema)
 
     def same_targets(self, other: "Target") -> bool:
         """Whether both files go to the same layers and tables."""

@@ -361,6 +361,22 @@ def routed_pages(spark, sf_dir):
     return route(files, business_metadata(spark))
 
 
+def routed_hosts(spark, sf_dir):
+    """E3 with many names: every page URL against the host of every page, with
+    some of its letters as wildcards, through the trigram index."""
+    pages = _table(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)
+    names = pages.select(F.replace(host, F.lit("ther"), F.lit("th_r")).alias("dataset")).distinct()
+    fixed = BUSINESS_ROWS[0]
+    meta = names.select("dataset", *[F.lit(v).alias(c) for c, v in zip(BUSINESS_COLUMNS[1:], fixed[1:])])
+    files = pages.select(
+        F.col("url").alias("path"),
+        F.col("url").alias("name"),
+        F.replace(F.col("url"), F.lit("__"), F.lit("_")).alias("d_name"),
+    )
+    return route(files, meta).select("path", "dataset", "layer_subpath", "warehouse_table", "staging_schema")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conformed_orders": conformed_orders,
     "conformed_lineitem": conformed_lineitem,
@@ -388,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warehouse_customer": warehouse_customer,
     "clean_page_urls": clean_page_urls,
     "routed_pages": routed_pages,
+    "routed_hosts": routed_hosts,
 }
 
 
@@ -529,8 +546,8 @@ WITH meta({', '.join(BUSINESS_COLUMNS)}) AS (VALUES
 SELECT DISTINCT p.url AS path, p.url AS name, {', '.join('m.' + c for c in BUSINESS_COLUMNS)},
        concat_ws('/', m.deltaLake_root, m.delta_database_name, m.delta_schema_name, m.deltaLake_table_name) AS layer_subpath,
        m.sql_schema_name || '_' || m.sql_table_name AS catalog_table,
-       concat_ws('.', m.sql_database_name, m.sql_schema_name, m.sql_table_name) AS warehouse_table,
-       'staging_' || m.sql_schema_name AS staging_schema
+       m.sql_database_name || '__' || m.sql_schema_name || '.' || m.sql_table_name AS warehouse_table,
+       'staging_' || m.sql_database_name || '__' || m.sql_schema_name AS staging_schema
 FROM pages p JOIN meta m
   ON lower(replace(p.url, '__', '_')) LIKE '%' || lower(trim(m.dataset)) || '%'""",
 }
@@ -569,6 +586,11 @@ ORACLE_SQL["customer_lost_values"] = "\nUNION ALL\n".join(
     for c, (t, text) in _SQL_LOSSY.items()
 )
 
+ORACLE_SQL["routed_hosts"] = """
+WITH names AS (SELECT DISTINCT replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), 'ther', 'th_r') AS dataset FROM pages)
+SELECT DISTINCT p.url AS path, n.dataset, 'web/crawl/spam/spam_pages' AS layer_subpath,
+       'dw__web.spam_pages' AS warehouse_table, 'staging_dw__web' AS staging_schema
+FROM pages p JOIN names n ON lower(replace(p.url, '__', '_')) LIKE '%' || lower(trim(n.dataset)) || '%'"""
 ORACLE_SQL["new_lineitem_bitmap"] = ORACLE_SQL["new_lineitem"]
 
 # Stored orders and the new ones are all orders once, typed.

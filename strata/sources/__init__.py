@@ -14,5 +14,5 @@ from .catalog import (
 )
 from .files import check_format, list_files, read_csv
 from .layers import layer_exists, read_layer, snapshot_layer, try_read_layer, write_layer
-from .metadata import read_business_csv, read_technical_csv, save_metadata, technical_rows
+from .metadata import read_business_csv, read_technical_csv, save_metadata
 from .warehouse import insert_from_staging, read_warehouse, write_staging

@@ -36,8 +36,3 @@ def save_metadata(df: DataFrame, db: str, table: str) -> None:
     spark = df.sparkSession
     ensure_database(spark, db)
     df.write.mode("overwrite").format("parquet").saveAsTable(qualified(db, table))
-
-
-def technical_rows(spark: SparkSession, db: str, table: str, dataset: str) -> DataFrame:
-    """The dataset's technical metadata rows."""
-    return dataset_rows(spark.table(qualified(db, table)), dataset)
