@@ -33,8 +33,11 @@ from .operators.membership import day_bitmaps, domain_bits, new_rows_by_bitmap
 from .operators.project import typed_projection
 from .operators.routing import BUSINESS_COLUMNS, route
 from .operators.spec import specs_from_rows
-from .plans.conformed import conformed_batch
-from .plans.typed import typed_after_load, typed_batch
+from .config import LakeConfig
+from .plans.conformed import conformed_batch, load_conformed
+from .plans.target import Target
+from .plans.typed import load_enriched, typed_after_load, typed_batch
+from .plans.warehouse import load_warehouse
 from .session import ensure_checkpoint_dir
 from .sources.keyindex import KeyIndex, new_by_index
 
@@ -89,6 +92,16 @@ SIX_FILES = [
     ("1998-06-01", "2000-06-30"),
     ("1999-10-01", "2100-12-31"),
 ]
+ORDERS_FEED = _spec(
+    "orders_feed",
+    [
+        ("o_custkey", "1", "bigint", "bigint", "Y", "N", "Y"),
+        ("o_orderkey", "2", "bigint", "bigint", "N", "N", "N"),
+        ("o_orderpriority", "3", "string", "varchar(5)", "N", "N", "N"),
+        ("o_month", "4", "date", "date", "N", "Y", "N"),
+    ],
+)
+THREE_FEEDS = [("1900-01-01", "1997-08-20"), ("1997-03-10", "1999-06-15"), ("1998-11-01", "2100-12-31")]
 EVENTS = _spec(
     "events_feed",
     [
@@ -300,6 +313,53 @@ def enriched_after_two_loads(spark, sf_dir):
     return typed_after_load(first, stored.unionByName(new_lake_rows(batch, stored, "o_orderdate")), ORDERS)
 
 
+def _feed_loads(spark, sf_dir, layers: list[tuple[bool, bool]]):
+    """Orders as CSV feeds in the shared folder, loaded for real one after
+    another: the conformed layer always, and for each feed whether the
+    enriched layer and the warehouse are loaded as well."""
+    run = uuid.uuid4().hex
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{run}"
+    cfg = LakeConfig.under(folder, conformed_db=f"rows_c_{run}", enriched_db=f"rows_e_{run}", sandbox_db=f"rows_s_{run}")
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_orderpriority",
+        F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("o_month"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+    )
+    for i, (first, last) in enumerate(THREE_FEEDS):
+        path = f"{cfg.incoming}/orders_feed__{i}.csv"
+        feed = orders.filter(F.col("day").between(first, last)).drop("day")
+        feed.write.option("header", True).csv(path)
+        t = Target(path, f"orders_feed__{i}.csv", "orders_feed", "rows", "tpch", "core", "orders", "dw", f"rows{run}", "orders", None)
+        days = load_conformed(spark, cfg, t, ORDERS_FEED, LOAD_TS).partitions
+        enriched, warehouse = layers[i]
+        if enriched:
+            days = load_enriched(spark, cfg, t, ORDERS_FEED, days).partitions
+        if warehouse:
+            load_warehouse(spark, cfg, t, ORDERS_FEED, days)
+    return cfg, t
+
+
+def conformed_after_loads(spark, sf_dir):
+    """K5 as loads: the conformed layer after three overlapping CSV feeds."""
+    cfg, t = _feed_loads(spark, sf_dir, [(False, False)] * 3)
+    return spark.table(f"{cfg.conformed_db}.{t.catalog_table}")
+
+
+def enriched_after_loads(spark, sf_dir):
+    """K6 as loads: the enriched layer, loaded after every feed."""
+    cfg, t = _feed_loads(spark, sf_dir, [(True, False)] * 3)
+    return spark.table(f"{cfg.enriched_db}.{t.catalog_table}")
+
+
+def warehouse_after_missed_load(spark, sf_dir):
+    """K8 as loads: a warehouse whose layers were off for the second feed."""
+    cfg, t = _feed_loads(spark, sf_dir, [(True, True), (False, False), (True, True)])
+    return spark.table(f"{t.warehouse_db}.{t.sql_table}")
+
+
 def renamed_columns_batch(spark, sf_dir):
     """A batch with raw headers, cleaned on the way in."""
     cust = _table(spark, sf_dir, "customer")
@@ -396,6 +456,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_orders_key_index": new_orders_key_index,
     "late_enabled_layer": late_enabled_layer,
     "enriched_after_two_loads": enriched_after_two_loads,
+    "conformed_after_loads": conformed_after_loads,
+    "enriched_after_loads": enriched_after_loads,
+    "warehouse_after_missed_load": warehouse_after_missed_load,
     "renamed_columns_batch": renamed_columns_batch,
     "typed_lineitem": typed_lineitem,
     "typed_customer_failing_casts": typed_customer_failing_casts,
@@ -552,16 +615,45 @@ FROM pages p JOIN meta m
   ON lower(replace(p.url, '__', '_')) LIKE '%' || lower(trim(m.dataset)) || '%'""",
 }
 
-# A chain of six loads, each against what is there by then.
+
+def _chain_sql(conf: str, day: str, part: str, ranges: list[tuple[str, str]]) -> str:
+    """A chain of loads, each against what is there by then: s1, s2, ..."""
+    steps = [f"WITH conf AS ({conf})", "s0 AS (SELECT *, -1 AS file FROM conf WHERE false)"]
+    for i, (first, last) in enumerate(ranges):
+        steps.append(f"f{i} AS (SELECT *, {i} AS file FROM conf WHERE {day} BETWEEN '{first}' AND '{last}')")
+        steps.append(
+            f"""s{i + 1} AS (SELECT * FROM s{i} UNION ALL SELECT * FROM f{i} WHERE calhashkey NOT IN (
+  SELECT s.calhashkey FROM s{i} s WHERE s.{part} IN (SELECT {part} FROM f{i})))"""
+        )
+    return ",\n".join(steps)
+
+
 _CONF_BY_CUSTOMER = _CONF_ORDERS.replace(_hash("o_orderkey", "o_custkey", "o_orderstatus"), _hash("o_custkey"))
-_chain = [f"WITH conf AS ({_CONF_BY_CUSTOMER})", "s0 AS (SELECT *, -1 AS file FROM conf WHERE false)"]
-for _i, (_first, _last) in enumerate(SIX_FILES):
-    _chain.append(f"f{_i} AS (SELECT *, {_i} AS file FROM conf WHERE o_orderdate BETWEEN '{_first}' AND '{_last}')")
-    _chain.append(
-        f"""s{_i + 1} AS (SELECT * FROM s{_i} UNION ALL SELECT * FROM f{_i} WHERE calhashkey NOT IN (
-  SELECT s.calhashkey FROM s{_i} s WHERE s.o_orderdate IN (SELECT o_orderdate FROM f{_i})))"""
-    )
-ORACLE_SQL["orders_six_files"] = ",\n".join(_chain) + f"\nSELECT * FROM s{len(SIX_FILES)}"
+ORACLE_SQL["orders_six_files"] = _chain_sql(_CONF_BY_CUSTOMER, "o_orderdate", "o_orderdate", SIX_FILES) + f"\nSELECT * FROM s{len(SIX_FILES)}"
+
+_FEED = f"""
+SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority,
+       strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS o_month, strftime(o_orderdate, '%Y-%m-%d') AS day,
+       {_hash('o_custkey')} AS calhashkey
+FROM orders"""
+_FEED_CHAIN = _chain_sql(_FEED, "day", "o_month", THREE_FEEDS)
+_AUDIT = f"{LOAD_TS_SQL} AS calinsertdate, CAST(NULL AS TIMESTAMP) AS calupdatedate"
+ORACLE_SQL["conformed_after_loads"] = _FEED_CHAIN + f"\nSELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_month, calhashkey, {_AUDIT} FROM s3"
+# A key enters a typed layer with the first load that brings it.
+ORACLE_SQL["enriched_after_loads"] = (
+    _FEED_CHAIN
+    + f"""
+SELECT DISTINCT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority,
+       CAST(o_month AS DATE) AS o_month, o_orderstatus, calhashkey, {_AUDIT}
+FROM s3 WHERE file = (SELECT min(t.file) FROM s3 t WHERE t.calhashkey = s3.calhashkey)"""
+)
+ORACLE_SQL["warehouse_after_missed_load"] = (
+    _FEED_CHAIN
+    + """
+SELECT DISTINCT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(o_orderkey AS BIGINT) AS o_orderkey, left(o_orderpriority, 5) AS o_orderpriority,
+       CAST(o_month AS DATE) AS o_month, o_orderstatus, calhashkey, DATE '2024-02-01' AS calinsertdate, CAST(NULL AS DATE) AS calupdatedate
+FROM s3 WHERE file = 0 OR calhashkey NOT IN (SELECT calhashkey FROM s1)"""
+)
 
 ORACLE_SQL["new_events_hot_keys"] = ORACLE_SQL["new_events"]
 

@@ -26,6 +26,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     settings = dict(RECOMMENDED_CONF)
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.setdefault("spark.driver.memory", "8g")
+    # A task for every folder would make listing a layer of many small days slow.
+    settings.setdefault("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
     settings.update({k: str(v) for k, v in conf.items()})
     for k, v in settings.items():
         builder = builder.config(k, v)

@@ -95,7 +95,7 @@ def known_partitions(spark: SparkSession, db: str, table: str) -> set[str]:
     return {unquote(r[0].split("=", 1)[1]) for r in rows}
 
 
-def add_partitions(spark: SparkSession, db: str, table: str, col: str, values: list, chunk: int = 500) -> None:
+def add_partitions(spark: SparkSession, db: str, table: str, col: str, values: list, chunk: int = 5000) -> None:
     """Tell the catalog about partitions just written (no folder listing).
 
     Values the catalog holds already are left alone by it; its whole partition
