@@ -7,7 +7,8 @@ penalty for switching labels the words, so mixed text falls into spans.
 Defined results: a null text or one without a letter is ``und`` with score 0
 and no span; a null language is not learned from; rows with a null id are
 labelled but not learned from; with nothing to learn from every row is
-``und``; repeated rows get equal rows.
+``und``; words in a script that no learned language has count for none of them
+(a text of such words alone scores 0); repeated rows get equal rows.
 """
 
 from __future__ import annotations
@@ -157,8 +158,9 @@ def _label(model: LanguageModel, texts: list[str], penalty: float) -> dict:
     doc = np.searchsorted(starts, at[new], side="right") - 1
     first = np.searchsorted(doc, np.arange(n_docs + 1))
     labels = viterbi(scores, first, penalty)
-    share = np.bincount(doc * len(langs) + labels, weights=size, minlength=n_docs * len(langs)).reshape(n_docs, -1)
-    total = share.sum(axis=1)
+    # Words in a script that no language has are letters of none of them.
+    share = np.bincount(doc * len(langs) + labels, weights=size * ~none, minlength=n_docs * len(langs)).reshape(n_docs, -1)
+    total = np.bincount(doc, weights=size, minlength=n_docs)
     top = share.argmax(axis=1)
     for d in np.flatnonzero(total):
         out["lang_pred"][d] = langs[top[d]]

@@ -219,3 +219,14 @@ def test_quality(spark, corpus, none):
     assert odd.count() == corpus.count()
     assert quality.fit(x, labels.limit(0), "quality").score(features).tolist() == [0.5] * 240
     assert quality.score(quality.document_statistics(none), model).count() == 0
+
+
+def test_letters_of_a_script_that_was_not_learned_belong_to_no_language():
+    scripts = np.zeros((len(langid.SCRIPTS), 2), bool)
+    latin = langid._script(np.array([ord("a")]))[0]
+    scripts[latin] = True
+    model = langid.LanguageModel(["de", "en"], np.zeros((1 << langid.BUCKET_BITS, 2), np.float32), scripts)
+    got = langid._label(model, ["abc abc", "Ελληνικά γράμματα", "abcd жизнь", "12"], 1.0)
+    assert got["lang_pred"][3] == "und" and got["score"].tolist()[3] == 0.0
+    assert got["score"].tolist()[:2] == [1.0, 0.0]
+    assert abs(got["score"][2] - 4 / 9) < 1e-12
