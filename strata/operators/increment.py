@@ -27,16 +27,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import HASH_COL
 
 # Above this many distinct partition values in one batch the value list is no
-# longer a sensible static filter; the stored side is then cut to the range of
-# the batch's partition values and semi-joined with them (still exact).
+# longer a sensible static filter; the stored side is then cut to the maximal
+# runs of the batch's days (still exact, see day_runs).
 MAX_PRUNE_VALUES = 10_000
 
+# Runs of consecutive days that become one static filter each.
+MAX_DAY_RUNS = 200
+
 # A key with more rows than this in one batch, and more than one row in
 # MAX_HOT_KEYS of the batch, is settled outside the shuffle. Fewer than
 # MAX_HOT_KEYS keys can hold such a share, so the list needs no cut.
@@ -107,12 +110,41 @@ def prune_to_batch(
     if values is not None:
         return prune_to_values(stored, col, values)
     parts = batch.select(F.col(col).cast("string").alias(_BATCH_PART)).distinct()
-    # The range of the values is a filter on the partition column alone, so
-    # folders outside it are not read; the semi-join makes the cut exact.
-    lo, hi = parts.agg(F.min(_BATCH_PART), F.max(_BATCH_PART)).first()
-    text = F.col(col).cast("string")
-    within = text.between(F.lit(lo), F.lit(hi)) | text.isNull()
-    return stored.filter(within).join(parts, text.eqNullSafe(F.col(_BATCH_PART)), "left_semi")
+    runs, exact = day_runs(parts, _BATCH_PART)
+    kept = stored.filter(runs_predicate(F.col(col).cast("string"), runs))
+    if exact:
+        return kept
+    # Some runs were joined over a gap: the semi-join makes the cut exact.
+    return kept.join(parts, F.col(col).cast("string").eqNullSafe(F.col(_BATCH_PART)), "left_semi")
+
+
+def day_runs(days: DataFrame, col: str, limit: int = MAX_DAY_RUNS) -> tuple[list[tuple[str | None, str | None]], bool]:
+    """Maximal runs of consecutive days among distinct day texts, at most
+    ``limit`` of them: (first, last), and (None, None) for a NULL day.
+
+    Runs are split at the widest gaps; whether all gaps were kept is the second
+    result. A text that is no date is a run of its own, as long as all of them
+    fit the limit. The window orders distinct days, which the calendar bounds."""
+    day = F.col(col).try_cast("date")
+    order = Window.orderBy(F.col("d").asc_nulls_last(), F.col("t"))
+    dated = days.filter(F.col(col).isNotNull()).select(F.col(col).alias("t"), day.alias("d"))
+    gap = F.datediff("d", F.lag("d").over(order))
+    steps = dated.withColumn("gap", F.when(F.lag("t").over(order).isNull(), 0).otherwise(F.coalesce(gap, F.lit(2**30))))
+    widest = F.row_number().over(Window.orderBy(F.desc("gap"), "t"))
+    cuts = steps.withColumn("cut", ((F.col("gap") > 1) & (widest < F.lit(limit))).cast("int"))
+    numbered = cuts.withColumn("run", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = numbered.groupBy("run").agg(F.min("t"), F.max("t"), F.count_if((F.col("gap") > 1) & (F.col("cut") == 0))).collect()
+    runs: list[tuple[str | None, str | None]] = sorted((r[1], r[2]) for r in rows)
+    if not days.filter(F.col(col).isNull()).isEmpty():
+        runs.append((None, None))
+    return runs, not any(r[3] for r in rows)
+
+
+def runs_predicate(text: Column, runs: list[tuple[str | None, str | None]]) -> Column:
+    """Whether a day text lies in one of the runs: a filter on the partition
+    column alone, so folders outside the runs are not read."""
+    tests = [text.isNull() if first is None else text.between(F.lit(first), F.lit(last)) for first, last in runs]
+    return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
 def stored_keys(stored: DataFrame, key: str = HASH_COL) -> DataFrame:
