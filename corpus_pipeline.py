@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is
 written as Parquet in the shared folder and read again as the next stage's
-``docs``. All but the last return the columns of ``documents``.
+``docs``. All but the last return the columns of ``documents``. Stages that hand
+texts to Python workers bound the session's Arrow batches (``bound_batches``).
 
 1. ``language_id`` drops documents without a letter and those in which no
    language holds ``MIN_LANGUAGE_SCORE`` of the letters.
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, langid, linededup, minhash, packing
-from strata.llm.common import fresh, held_out, scratch_path, table
+from strata.llm.common import bound_batches, fresh, held_out, scratch_path, table
 
 MIN_LANGUAGE_SCORE = 0.4
 SEQUENCE_LENGTH = 2048
@@ -29,6 +30,7 @@ END_ID = 0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     model = langid.fit(docs, F.col("lang"), ~held_out(F.col("doc_id")))
     return langid.drop_unidentified(docs, model, MIN_LANGUAGE_SCORE)
 
@@ -45,14 +47,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return minhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return packing.pack_documents(docs, SEQUENCE_LENGTH, END_ID)
 
 

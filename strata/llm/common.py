@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Just under a slice of texts as encoders take them (``tokenids.SLICE_CHARS``).
+TEXT_BATCH = "3900k"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +33,14 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Cut the Arrow batches of this session by bytes, not by rows alone: a
+    task holds its batch several times over outside the heap, and its worker
+    once more. A limit that the session has already stays."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, TEXT_BATCH)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
     Only a local session without that setting gets a folder of its own."""
